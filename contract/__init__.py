@@ -1,0 +1,7 @@
+"""What the checking driver calls: derived inputs, queries, and their SQL twins."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

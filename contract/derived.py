@@ -1,0 +1,193 @@
+"""Trips and weather derived from the given tables, and the tables staged from them.
+
+No given table holds trips.  ``events`` gives one month of them, ``orders`` eighty
+months; FIXTURES.md states the rules.  Staged tables are written once per session
+and input folder into the shared scratch folder, then read like any other table.
+"""
+
+from __future__ import annotations
+
+import io
+import posixpath
+import zipfile
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from veloclima.operators import cast_trips
+from veloclima.plans import enrich_trips, ingest_trips
+from veloclima.schema import TRIP_COLUMNS
+from veloclima.session import scratch_folder
+from veloclima.sinks import append_months, write_months, write_parquet, write_table
+from veloclima.sources import read_trips_parquet, read_weather
+
+
+def _micros_of_second(stamp: str) -> Column:
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.pmod(F.timestamp_diff("MICROSECOND", epoch, F.col(stamp)), F.lit(1_000_000))
+
+
+def _seeds(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """(i, ts, user_id, value): what the trip rules start from."""
+    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    if table == "events":
+        return df.select(F.col("event_id").alias("i"), "ts", "user_id", "value")
+    second = ((F.col("o_orderkey") * 7919) % 86400).cast("long")
+    return df.select(
+        F.col("o_orderkey").alias("i"),
+        F.timestamp_add("SECOND", second, F.col("o_orderdate").cast("timestamp_ntz")).alias("ts"),
+        F.col("o_custkey").alias("user_id"),
+        (F.col("o_totalprice") % 500.0).alias("value"),
+    )
+
+
+def trips(spark: SparkSession, sf_dir: str, table: str = "events") -> DataFrame:
+    """Raw trips with the typed 13 columns and real NULLs."""
+    i, user = F.col("i"), F.col("user_id")
+    bike = (
+        F.when(i % 4 == 0, "electric_bike")
+        .when(i % 4 == 1, "classic")
+        .when(i % 4 == 2, "docked_bike")
+        .otherwise("classic_bike")
+    )
+    who = F.when(user % 13 == 5, "guest").when(user % 3 == 0, "casual").otherwise("member")
+    start = F.timestamp_add("MICROSECOND", -_micros_of_second("ts"), F.col("ts"))
+    lat, lng = F.col("start_lat"), F.col("start_lng")
+    still = i % 23 == 0
+
+    def numbered(prefix: str, modulus: int) -> Column:
+        return F.concat(F.lit(prefix), (i % modulus).cast("string"))
+
+    based = _seeds(spark, sf_dir, table).withColumns(
+        {
+            "started_at": start,
+            "start_lat": F.lit(41.65) + ((i * 7919) % 40000) / 100000.0,
+            "start_lng": F.lit(-87.85) + ((i * 104729) % 30000) / 100000.0,
+        }
+    )
+    seconds = F.floor(F.col("value") * 60.0).cast("long")
+    return based.select(
+        i.cast("string").alias("ride_id"),
+        bike.alias("rideable_type"),
+        "started_at",
+        F.timestamp_add("SECOND", seconds, F.col("started_at")).alias("ended_at"),
+        F.when(i % 17 != 0, numbered("st", 97)).alias("start_station_name"),
+        numbered("s", 97).alias("start_station_id"),
+        numbered("en", 89).alias("end_station_name"),
+        numbered("e", 89).alias("end_station_id"),
+        "start_lat",
+        "start_lng",
+        F.when(i % 41 != 0, F.when(still, lat).otherwise(lat + ((i * 31) % 4000 - 2000) / 100000.0))
+        .alias("end_lat"),
+        F.when(still, lng).otherwise(lng + ((i * 37) % 4000 - 2000) / 100000.0).alias("end_lng"),
+        who.alias("member_casual"),
+    )
+
+
+def weather_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per day of ``events``, without days 10, 20 and 30 of a month."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    days = events.select(F.to_date("ts").alias("d")).distinct()
+    day = F.dayofmonth("d")
+    icon = F.when(day % 4 == 0, "rain").when(day % 4 == 1, "snow").when(day % 4 == 2, "cloudy")
+    return days.filter(day % 10 != 0).select(
+        F.date_format("d", "yyyy-MM-dd").alias("datetime"),
+        icon.otherwise("clear-day").alias("icon"),
+        ((day % 7) * 2.5 - 5.0).alias("tempmax"),
+    )
+
+
+# --- staged tables ----------------------------------------------------------------
+
+_staged: dict[tuple[str, str, str], str] = {}
+
+
+def staged(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Path (or, for ``processed_table``, name) of a staged table, written on first use."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _staged:
+        place = scratch_folder(spark, name)
+        _staged[key] = _STAGES[name](spark, sf_dir, place) or place
+    return _staged[key]
+
+
+def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_weather(spark, staged(spark, sf_dir, "weather"))
+
+
+def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.table(staged(spark, sf_dir, "processed_table"))
+
+
+def _stage_weather(spark: SparkSession, sf_dir: str, place: str) -> None:
+    write_parquet(weather_rows(spark, sf_dir), place)
+
+
+def _stage_csv(spark: SparkSession, sf_dir: str, place: str) -> None:
+    (
+        trips(spark, sf_dir)
+        .write.option("header", True)
+        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+        .option("maxRecordsPerFile", 500_000)
+        .csv(place)
+    )
+
+
+def _stage_zip(spark: SparkSession, sf_dir: str, place: str) -> None:
+    """One archive per CSV file, each packed and written by its task.
+
+    Member times are fixed, so a repeated task writes the same bytes.
+    """
+    files, folder = pafs.FileSystem.from_uri(place)
+    files.create_dir(folder, recursive=True)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target, root = pafs.FileSystem.from_uri(place)
+        for batch in batches:
+            for path, content in zip(batch.column(0), batch.column(1), strict=True):
+                name = posixpath.basename(path.as_py())
+                packed = io.BytesIO()
+                with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as box:
+                    box.writestr(zipfile.ZipInfo(name, (2024, 1, 1, 0, 0, 0)), content.as_py())
+                    box.writestr(zipfile.ZipInfo("notes.csv", (2024, 1, 1, 0, 0, 0)), "not,trips\n")
+                with target.open_output_stream(f"{root}/{name}.zip") as out:
+                    out.write(packed.getvalue())
+                yield pa.RecordBatch.from_arrays([pa.array([name])], ["name"])
+
+    csv_files = spark.read.format("binaryFile").load(f"{staged(spark, sf_dir, 'csv')}/*.csv")
+    csv_files.select("path", "content").mapInArrow(pack, "name string").count()
+
+
+def _stage_raw(spark: SparkSession, sf_dir: str, place: str) -> None:
+    write_months(ingest_trips(trips(spark, sf_dir)), place)
+
+
+def _stage_long(spark: SparkSession, sf_dir: str, place: str) -> None:
+    """Eighty months of trips; rows arrive in no month order, so gather them first."""
+    write_months(cast_trips(trips(spark, sf_dir, "orders"), None), place, rebalance=True)
+
+
+def _stage_processed(spark: SparkSession, sf_dir: str, place: str) -> None:
+    raw = read_trips_parquet(spark, staged(spark, sf_dir, "raw")).select(*TRIP_COLUMNS)
+    append_months(enrich_trips(raw, weather(spark, sf_dir)), place)
+
+
+def _stage_processed_table(spark: SparkSession, sf_dir: str, place: str) -> str:
+    name = "processed_" + place.rsplit("-", 1)[1]
+    rows = spark.read.parquet(staged(spark, sf_dir, "processed"))
+    write_table(rows.drop("year", "month"), name, path=place)
+    return name
+
+
+_STAGES: dict[str, Callable[[SparkSession, str, str], str | None]] = {
+    "weather": _stage_weather,
+    "csv": _stage_csv,
+    "zip": _stage_zip,
+    "raw": _stage_raw,
+    "long": _stage_long,
+    "processed": _stage_processed,
+    "processed_table": _stage_processed_table,
+}

@@ -1,0 +1,377 @@
+"""One query per operator.  Each reads the whole of its tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from veloclima import operators as op
+from veloclima import plans, sinks, sources
+from veloclima.functions import day_text
+from veloclima.schema import TRIP_COLUMNS
+from veloclima.session import scratch_folder
+
+from . import derived
+
+Query = Callable[[SparkSession, str], DataFrame]
+REGISTRY: dict[str, Query] = {}
+
+
+def query(fn: Query) -> Query:
+    REGISTRY[fn.__name__] = fn
+    return fn
+
+
+def shown(df: DataFrame) -> DataFrame:
+    """Times as text, so that two engines print them alike."""
+    times = [name for name, kind in df.dtypes if kind == "timestamp_ntz"]
+    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in times})
+
+
+def rounded(report: DataFrame, *columns: str) -> DataFrame:
+    """Averages to 4 dp: engines add in different orders."""
+    return report.withColumns({c: F.round(c, 4) for c in columns})
+
+
+def _long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sources.read_trips_parquet(spark, derived.staged(spark, sf_dir, "long"))
+
+
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = derived.staged(spark, sf_dir, "raw")
+    return sources.read_trips_parquet(spark, path).select(*TRIP_COLUMNS)
+
+
+def _csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sources.read_trips_csv(spark, derived.staged(spark, sf_dir, "csv"))
+
+
+# --- sources ------------------------------------------------------------------------
+
+
+@query
+def src_csv_month(spark, sf_dir):
+    return shown(plans.ingest_trips(_csv(spark, sf_dir), null_text=None))
+
+
+@query
+def src_zip_csv(spark, sf_dir):
+    rows = sources.read_trips_zip(spark, derived.staged(spark, sf_dir, "zip"))
+    return shown(plans.ingest_trips(rows, null_text=None))
+
+
+@query
+def src_parquet(spark, sf_dir):
+    return shown(_raw(spark, sf_dir))
+
+
+@query
+def src_parquet_glob(spark, sf_dir):
+    pattern = f"{derived.staged(spark, sf_dir, 'long')}/year=*/month=*"
+    rows = sources.read_trips_parquet(spark, pattern, with_source=True)
+    return rows.select(
+        "ride_id",
+        F.regexp_extract("source", r"year=(\d+)/", 1).cast("int").alias("source_year"),
+        F.regexp_extract("source", r"month=(\d+)/", 1).cast("int").alias("source_month"),
+    )
+
+
+@query
+def src_weather(spark, sf_dir):
+    return derived.weather(spark, sf_dir)
+
+
+@query
+def src_table(spark, sf_dir):
+    name = derived.staged(spark, sf_dir, "processed_table")
+    return shown(sources.read_table(spark, name))
+
+
+@query
+def month_select(spark, sf_dir):
+    return shown(op.month_select(_long(spark, sf_dir), 1997, ["01", "02", "03", "09"]))
+
+
+@query
+def month_coverage(spark, sf_dir):
+    expected = op.months_between(spark, "1994-07", "2002-06")
+    return op.month_coverage(_long(spark, sf_dir), expected)
+
+
+# --- sinks --------------------------------------------------------------------------
+
+
+@query
+def sink_parquet_month(spark, sf_dir):
+    path = scratch_folder(spark, "by-month")
+    sinks.write_months(derived.trips(spark, sf_dir, "orders"), path, rebalance=True)
+    return shown(sources.read_trips_parquet(spark, path))
+
+
+@query
+def sink_append(spark, sf_dir):
+    path = scratch_folder(spark, "appended")
+    for _ in range(2):
+        sinks.append_months(_raw(spark, sf_dir), path)
+    return op.count_by_month(sources.read_trips_parquet(spark, path))
+
+
+@query
+def sink_overwrite(spark, sf_dir):
+    path = scratch_folder(spark, "overwritten")
+    sinks.write_parquet(derived.processed(spark, sf_dir), path)
+    sinks.write_parquet(_raw(spark, sf_dir), path, mode="overwrite")
+    return shown(sources.read_trips_parquet(spark, path))
+
+
+@query
+def sink_errorifexists(spark, sf_dir):
+    path = scratch_folder(spark, "once")
+    sinks.write_parquet(_raw(spark, sf_dir), path)
+    try:
+        sinks.write_parquet(_raw(spark, sf_dir), path)
+    except AnalysisException:
+        return shown(sources.read_trips_parquet(spark, path))
+    raise AssertionError("a second write to one target must fail")
+
+
+@query
+def sink_joined_parquet(spark, sf_dir):
+    path = scratch_folder(spark, "joined")
+    joined = plans.join_only(_raw(spark, sf_dir), derived.weather(spark, sf_dir))
+    sinks.write_parquet(joined, path, mode="overwrite")
+    return shown(spark.read.parquet(path))
+
+
+@query
+def table_copy(spark, sf_dir):
+    path = scratch_folder(spark, "copy")
+    source = derived.staged(spark, sf_dir, "processed_table")
+    target = "copy_" + path.rsplit("-", 1)[1]
+    return shown(sinks.table_copy(spark, source, target, path=path))
+
+
+@query
+def sink_idempotent_month(spark, sf_dir):
+    path = scratch_folder(spark, "replaced")
+    everything = _long(spark, sf_dir)
+    sinks.replace_months(everything, path, rebalance=True)
+    sinks.replace_months(op.month_select(everything, 1998, [3, 4]), path)
+    return op.count_by_month(sources.read_trips_parquet(spark, path))
+
+
+# --- projections, casts, cleaning ---------------------------------------------------
+
+
+@query
+def parse_timestamps(spark, sf_dir):
+    return op.parse_timestamps(_csv(spark, sf_dir)).select("ride_id", "started_at", "ended_at")
+
+
+@query
+def cast_trips(spark, sf_dir):
+    return shown(op.cast_trips(op.parse_timestamps(_csv(spark, sf_dir)), null_text="nan"))
+
+
+@query
+def drop_na_any(spark, sf_dir):
+    return shown(op.drop_na_any(derived.trips(spark, sf_dir)))
+
+
+@query
+def rename_weather_key(spark, sf_dir):
+    return op.rename_weather_key(derived.weather(spark, sf_dir))
+
+
+@query
+def add_date_key(spark, sf_dir):
+    return op.add_date_key(derived.trips(spark, sf_dir), as_text=True).select("ride_id", "date")
+
+
+@query
+def weather_date_text(spark, sf_dir):
+    weather = derived.weather(spark, sf_dir)
+    return op.weather_date_text(
+        weather.withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
+    )
+
+
+@query
+def project_trips(spark, sf_dir):
+    dated = op.add_date_key(derived.trips(spark, sf_dir), as_text=True)
+    return shown(op.project_trips(dated, 100, order_by="ride_id"))
+
+
+@query
+def select_all_limit(spark, sf_dir):
+    return shown(op.select_all_limit(derived.processed(spark, sf_dir), 100, order_by="ride_id"))
+
+
+@query
+def project_4_year(spark, sf_dir):
+    return shown(op.project_day_and_year(derived.trips(spark, sf_dir)))
+
+
+@query
+def drop_index_col(spark, sf_dir):
+    indexed = derived.trips(spark, sf_dir).withColumn("__index_level_0__", F.lit(0))
+    return shown(op.drop_index_col(indexed))
+
+
+@query
+def column_overlap(spark, sf_dir):
+    """Weather that also has a ``cost`` column: both survive, told apart by suffix."""
+    trips = op.add_cost(op.add_distance(derived.trips(spark, sf_dir)))
+    weather = derived.weather(spark, sf_dir).withColumn("cost", F.col("tempmax") * 10)
+    joined = op.join_weather(op.add_date_key(trips), weather)
+    return joined.select("ride_id", "cost_x", "cost_y")
+
+
+# --- join, aggregates, top-n ----------------------------------------------------------
+
+
+@query
+def join_weather(spark, sf_dir):
+    dated = op.add_date_key(derived.trips(spark, sf_dir))
+    joined = op.join_weather(dated, derived.weather(spark, sf_dir))
+    return shown(op.date_as_text(joined))
+
+
+@query
+def weather_daily_avg(spark, sf_dir):
+    return rounded(op.weather_daily_avg(derived.processed(spark, sf_dir)), "distance")
+
+
+@query
+def count_table(spark, sf_dir):
+    return op.count_table(derived.processed(spark, sf_dir))
+
+
+@query
+def count_multi_month(spark, sf_dir):
+    pattern = f"{derived.staged(spark, sf_dir, 'long')}/year=*/month=*"
+    return op.count_by_month(sources.read_trips_parquet(spark, pattern))
+
+
+@query
+def count_before_clean(spark, sf_dir):
+    return op.clean_report(derived.trips(spark, sf_dir))
+
+
+@query
+def top10_distance_desc(spark, sf_dir):
+    report = op.weather_daily_avg(derived.processed(spark, sf_dir))
+    return rounded(op.top_distance(report, 10), "distance")
+
+
+@query
+def top10_distance_asc(spark, sf_dir):
+    report = op.weather_daily_avg(derived.processed(spark, sf_dir))
+    return rounded(op.top_distance(report, 10, ascending=True), "distance")
+
+
+@query
+def limit_n(spark, sf_dir):
+    return op.limit_rows(derived.weather(spark, sf_dir), 5, order_by="datetime")
+
+
+# --- scalar functions -----------------------------------------------------------------
+
+
+@query
+def add_distance(spark, sf_dir):
+    return op.add_distance(derived.trips(spark, sf_dir)).select("ride_id", "distance")
+
+
+@query
+def add_travel_time(spark, sf_dir):
+    return op.add_travel_time(derived.trips(spark, sf_dir)).select("ride_id", "travel_time")
+
+
+@query
+def add_cost(spark, sf_dir):
+    return op.add_cost(op.add_distance(derived.trips(spark, sf_dir))).select(
+        "ride_id", "rideable_type", "member_casual", "distance", "cost"
+    )
+
+
+@query
+def day_format(spark, sf_dir):
+    return derived.processed(spark, sf_dir).select("ride_id", day_text("date").alias("day"))
+
+
+@query
+def cast_to_text(spark, sf_dir):
+    dated = op.add_date_key(derived.trips(spark, sf_dir))
+    return op.date_as_text(dated).select("ride_id", "date")
+
+
+# --- SQL surface and programs -----------------------------------------------------------
+
+
+@query
+def sql_view(spark, sf_dir):
+    view = op.register_view(derived.processed(spark, sf_dir), "trips")
+    return rounded(op.daily_report_sql(spark, view), "distance")
+
+
+@query
+def multi_month_union(spark, sf_dir):
+    everything = _long(spark, sf_dir)
+    years = [op.month_select(everything, y, range(1, 13)) for y in range(1995, 2002)]
+    return shown(op.multi_month_union(*years))
+
+
+@query
+def pipe_ingest(spark, sf_dir):
+    path = scratch_folder(spark, "ingested")
+    sinks.write_months(plans.ingest_trips(_csv(spark, sf_dir)), path)
+    return shown(sources.read_trips_parquet(spark, path))
+
+
+@query
+def pipe_enrich(spark, sf_dir):
+    path = scratch_folder(spark, "enriched")
+    sinks.append_months(
+        plans.enrich_trips(_raw(spark, sf_dir), derived.weather(spark, sf_dir)), path
+    )
+    return shown(spark.read.parquet(path).drop("year", "month"))
+
+
+@query
+def pipe_combined(spark, sf_dir):
+    path = scratch_folder(spark, "combined")
+    done = plans.ingest_and_enrich(_csv(spark, sf_dir), derived.weather(spark, sf_dir))
+    sinks.write_months(done, path)
+    return shown(spark.read.parquet(path).drop("year", "month"))
+
+
+@query
+def pipe_spark_join(spark, sf_dir):
+    path = scratch_folder(spark, "day-join")
+    target = "day_join_" + path.rsplit("-", 1)[1]
+    joined = plans.join_only(_raw(spark, sf_dir), derived.weather(spark, sf_dir))
+    sinks.write_table(joined, target, mode="overwrite", path=path)
+    return shown(spark.table(target))
+
+
+@query
+def report_weather_km(spark, sf_dir):
+    return rounded(op.report_weather_km(derived.processed(spark, sf_dir)), "avg_distance_km")
+
+
+@query
+def daily_extremes(spark, sf_dir):
+    """Raw trips to the ten best and ten worst days, in one job."""
+    ends = plans.daily_extremes(derived.trips(spark, sf_dir), derived.weather(spark, sf_dir))
+    return rounded(ends, "distance")
+
+
+@query
+def weather_daily_avg_from_trips(spark, sf_dir):
+    measured = op.add_distance(op.drop_na_any(derived.trips(spark, sf_dir)))
+    report = op.weather_daily_avg_from_trips(measured, derived.weather(spark, sf_dir))
+    return rounded(report, "distance")
