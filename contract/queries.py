@@ -252,8 +252,9 @@ def count_table(spark, sf_dir):
 
 @query
 def count_multi_month(spark, sf_dir):
-    pattern = f"{derived.staged(spark, sf_dir, 'long')}/year=*/month=*"
-    return op.count_by_month(sources.read_trips_parquet(spark, pattern))
+    root = derived.staged(spark, sf_dir, "long")
+    rows = sources.read_trips_parquet(spark, f"{root}/year=*/month=*", base_path=root)
+    return op.count_by_month(rows)
 
 
 @query

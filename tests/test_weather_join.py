@@ -1,0 +1,95 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan_of
+from veloclima.operators import (
+    add_date_key,
+    column_overlap,
+    join_weather,
+    rename_weather_key,
+    weather_date_text,
+)
+from veloclima.schema import WEATHER
+from veloclima.sources import read_weather
+
+DAYS = [("2022-09-14", "rain", 20.5), ("2022-09-15", "snow", None), ("2022-09-16", None, 1.0)]
+
+
+@pytest.fixture
+def weather(spark):
+    return spark.createDataFrame(DAYS, WEATHER)
+
+
+@pytest.fixture
+def trips(make_trips):
+    days = [14, 14, 15, 17]
+    return add_date_key(
+        make_trips(*[{"started_at": dt.datetime(2022, 9, d, 23, 59, 59)} for d in days])
+    )
+
+
+def ids(df):
+    return sorted(r.ride_id for r in df.collect())
+
+
+def test_inner_join_by_day(trips, weather):
+    joined = join_weather(trips, weather)
+    assert ids(joined) == ["0", "1", "2"]
+    assert joined.columns == [*trips.columns, "icon", "tempmax"]
+
+
+def test_two_weather_rows_double_the_trips(trips, weather):
+    assert ids(join_weather(trips, weather.union(weather.limit(1)))) == ["0", "0", "1", "1", "2"]
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date", "string"])
+def test_any_kind_of_key_meets(trips, weather, kind):
+    keyed = weather.withColumn("datetime", F.col("datetime").cast(kind))
+    assert ids(join_weather(trips, keyed)) == ["0", "1", "2"]
+    as_text = trips.withColumn("date", F.col("date").cast("string"))
+    assert ids(join_weather(as_text, keyed)) == ["0", "1", "2"]
+    assert weather_date_text(keyed).orderBy("date").first().date == "2022-09-14"
+
+
+def test_collisions(trips, weather):
+    both = weather.withColumn("Start_Lat", F.lit(0.0)).withColumn("wind", F.lit(3))
+    assert column_overlap(trips, rename_weather_key(both)) == ["start_lat"]
+    columns = join_weather(trips, both).columns
+    assert "start_lat_x" in columns and "Start_Lat_y" in columns and "wind" in columns
+    assert "start_lat" not in columns
+    with pytest.raises(ValueError, match="start_lat"):
+        join_weather(trips, both, collision="raise")
+
+
+def test_small_weather_is_broadcast_and_large_is_not(spark, trips, weather, tmp_path, conf):
+    path = str(tmp_path / "weather")
+    weather.write.parquet(path)
+    conf("spark.sql.adaptive.enabled", "false")
+    plan = plan_of(join_weather(trips, read_weather(spark, path)))
+    assert "BroadcastHashJoin" in plan and "Exchange hash" not in plan
+    conf("spark.sql.autoBroadcastJoinThreshold", "100")
+    plan = plan_of(join_weather(trips, read_weather(spark, path)))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_salting_changes_the_spread_but_not_the_rows(spark, make_trips, weather, conf):
+    """Two thirds of all trips on one day, no broadcast allowed."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    hot = [{"started_at": dt.datetime(2022, 9, 14 + (n % 3 == 0), 8)} for n in range(300)]
+    trips = add_date_key(make_trips(*hot))
+    doubled = weather.union(weather.limit(1))
+    plain, salted = (
+        join_weather(trips, doubled, salt=n).withColumn("_task", F.spark_partition_id())
+        for n in (1, 8)
+    )
+    assert sorted(map(str, plain.drop("_task").collect())) == sorted(
+        map(str, salted.drop("_task").collect())
+    )
+    hot_day = F.col("icon") == "rain"
+    assert plain.filter(hot_day).select("_task").distinct().count() == 1
+    assert salted.filter(hot_day).select("_task").distinct().count() > 1
+    with pytest.raises(ValueError):
+        join_weather(trips, weather, salt=0)

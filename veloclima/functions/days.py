@@ -14,8 +14,8 @@ def calendar_day(value: Column | str) -> Column:
 
 
 def day_text(value: Column | str) -> Column:
-    """The day written ``yyyy-MM-dd``."""
-    return F.date_format(calendar_day(value), "yyyy-MM-dd")
+    """The day written ``yyyy-MM-dd``.  A DATE prints so without any time zone."""
+    return calendar_day(value).cast("string")
 
 
 def minutes_between(start: str, end: str) -> Column:

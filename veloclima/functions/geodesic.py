@@ -19,6 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # --- fixed values: WGS-84 ---------------------------------------------------
 EQUATOR_RADIUS_M = 6378137.0
@@ -77,7 +78,7 @@ def ellipsoid_metres(lat1, lng1, lat2, lng2) -> np.ndarray:
     return np.where(moved <= SETTLED_RAD, POLE_RADIUS_M * a * (arc - fix), np.nan)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _metres(lat1: pd.Series, lng1: pd.Series, lat2: pd.Series, lng2: pd.Series) -> pd.Series:
     with np.errstate(all="ignore"):
         return pd.Series(

@@ -18,10 +18,11 @@ def weather_daily_avg(enriched: DataFrame) -> DataFrame:
     """Average distance by day, weather icon and maximum temperature.
 
     Unknown weather (NULL) forms its own group; trips without a distance do not
-    enter the average.
+    enter the average.  Groups form on DATE; only the groups are printed as text.
     """
-    return enriched.groupBy(day_text("date").alias("day"), "icon", "tempmax").agg(
-        F.avg("distance").alias("distance")
+    by_day = enriched.groupBy(calendar_day("date").alias("day"), "icon", "tempmax")
+    return by_day.agg(F.avg("distance").alias("distance")).select(
+        day_text("day").alias("day"), "icon", "tempmax", "distance"
     )
 
 
@@ -29,8 +30,9 @@ def weather_daily_avg_from_trips(trips: DataFrame, weather: DataFrame) -> DataFr
     """The same report without an enriched table in between.
 
     Trips shrink to one sum and count per day before they meet the weather, so
-    neither the weather's size nor a busy day matters.  Weather given twice for
-    one day scales sum and count alike and leaves the average as it is.
+    neither the weather's size nor a busy day matters, and rows already gathered
+    by day need no second shuffle.  Weather given twice for one day scales sum
+    and count alike and leaves the average as it is.
     """
     per_day = (
         add_date_key(trips)
@@ -43,8 +45,9 @@ def weather_daily_avg_from_trips(trips: DataFrame, weather: DataFrame) -> DataFr
     total = F.try_divide(F.sum("_sum"), F.sum("_n"))
     return (
         per_day.join(days, "date")
-        .groupBy(day_text("date").alias("day"), "icon", "tempmax")
+        .groupBy("date", "icon", "tempmax")
         .agg(total.alias("distance"))
+        .select(day_text("date").alias("day"), "icon", "tempmax", "distance")
     )
 
 
@@ -89,12 +92,12 @@ def report_weather_km(enriched: DataFrame) -> DataFrame:
 
 
 DAILY_REPORT_SQL = """
-SELECT date_format(to_date(date), 'yyyy-MM-dd') AS day,
+SELECT CAST(to_date(date) AS STRING) AS day,
        icon,
        tempmax,
        avg(distance) AS distance
 FROM {view}
-GROUP BY day, icon, tempmax
+GROUP BY to_date(date), icon, tempmax
 """
 
 

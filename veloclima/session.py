@@ -32,6 +32,9 @@ def build_session(
     return builder.getOrCreate()
 
 
+_local_roots: dict[str, str] = {}
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder path for a table written between jobs.
 
@@ -43,6 +46,8 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="veloclima-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        application = spark.sparkContext.applicationId
+        if application not in _local_roots:
+            _local_roots[application] = tempfile.mkdtemp(prefix="veloclima-")
+        root = _local_roots[application]
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

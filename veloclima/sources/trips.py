@@ -106,10 +106,19 @@ def read_trips_parquet(
     paths: str | Sequence[str],
     schema: T.StructType = TRIPS,
     with_source: bool = False,
+    base_path: str | None = None,
 ) -> DataFrame:
-    """One path, several, or a wildcard.  ``with_source`` adds the file each row came from."""
+    """One path, several, or a wildcard.
+
+    ``with_source`` adds the file each row came from.  A wildcard into
+    ``year=/month=`` folders loses those two columns unless ``base_path`` says
+    where the table starts.
+    """
     given = [paths] if isinstance(paths, str) else list(paths)
-    df = spark.read.schema(schema).parquet(*given)
+    reader = spark.read.schema(schema)
+    if base_path:
+        reader = reader.option("basePath", base_path)
+    df = reader.parquet(*given)
     return df.withColumn("source", F.col("_metadata.file_path")) if with_source else df
 
 
