@@ -1,0 +1,107 @@
+import datetime as dt
+from pathlib import Path
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from veloclima.operators import count_by_month, month_select
+from veloclima.session import scratch_folder
+from veloclima.sinks import (
+    append_months,
+    replace_months,
+    table_copy,
+    write_months,
+    write_parquet,
+    write_table,
+)
+from veloclima.sources import read_trips_parquet
+
+
+@pytest.fixture
+def trips(make_trips):
+    return make_trips(*[{"started_at": dt.datetime(2022, 1 + n % 3, 5)} for n in range(30)])
+
+
+def counts(spark, path):
+    return {r.month: r.n for r in count_by_month(read_trips_parquet(spark, path)).collect()}
+
+
+def test_append_doubles_and_replace_does_not(spark, trips, tmp_path):
+    path = str(tmp_path / "t")
+    append_months(trips, path)
+    append_months(trips, path)
+    assert counts(spark, path) == {1: 20, 2: 20, 3: 20, None: 60}
+    february = month_select(trips, 2022, [2])
+    for _ in range(2):
+        replace_months(february, path)
+        assert counts(spark, path) == {1: 20, 2: 10, 3: 20, None: 50}
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_modes(spark, trips, tmp_path):
+    path = str(tmp_path / "t")
+    write_parquet(trips, path)
+    with pytest.raises(AnalysisException):
+        write_parquet(trips, path)
+    with pytest.raises(AnalysisException):
+        write_months(trips, path)
+    write_parquet(trips.limit(3), path, mode="overwrite")
+    assert spark.read.parquet(path).count() == 3
+    write_parquet(trips.limit(3), path, mode="append")
+    assert spark.read.parquet(path).count() == 6
+
+
+def test_files_are_cut_and_compressed(spark, trips, tmp_path):
+    path = str(tmp_path / "t")
+    write_parquet(trips.coalesce(1), path, rows_per_file=10)
+    files = list(Path(path).glob("*.snappy.parquet"))
+    assert len(files) == 3
+
+
+def test_no_shuffle_unless_asked_and_hot_months_are_split(spark, trips, tmp_path, conf):
+    """Nine tenths of the rows in one month must not become one task."""
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    conf("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+    many = (
+        trips.limit(1)
+        .drop("started_at", "ride_id")
+        .crossJoin(spark.range(0, 40_000, 1, 8))
+        .withColumn("ride_id", F.sha2(F.col("id").cast("string"), 256))
+        .withColumn(
+            "started_at",
+            F.when(F.col("id") % 10 == 0, F.lit("2022-02-01 00:00:00"))
+            .otherwise(F.lit("2022-01-01 00:00:00"))
+            .cast("timestamp_ntz"),
+        )
+        .drop("id")
+    )
+    path = str(tmp_path / "t")
+    write_months(many, path, rebalance=True)
+    assert len(list(Path(path).glob("year=2022/month=1/*.parquet"))) > 3
+    assert counts(spark, path) == {1: 36_000, 2: 4_000, None: 40_000}
+
+
+def test_tables_and_copies(spark, trips, tmp_path):
+    write_table(trips, "t_sink", path=str(tmp_path / "a"))
+    with pytest.raises(AnalysisException):
+        write_table(trips, "t_sink")
+    write_table(trips.limit(5), "t_sink", mode="overwrite", path=str(tmp_path / "a"))
+    copy = table_copy(spark, "t_sink", "t_sink_copy", path=str(tmp_path / "b"))
+    assert copy.count() == 5 and copy.schema == trips.schema
+    assert copy.exceptAll(spark.table("t_sink")).isEmpty()
+
+
+class FakeSession:
+    def __init__(self, master, root):
+        self.sparkContext = type("C", (), {"master": master, "applicationId": f"{master}-{root}"})
+        self.conf = type("R", (), {"get": staticmethod(lambda key, default=None: root)})
+
+
+def test_scratch_folder_is_shared_or_local():
+    assert scratch_folder(FakeSession("yarn", "hdfs://x/s/"), "t").startswith("hdfs://x/s/t-")
+    with pytest.raises(ValueError):
+        scratch_folder(FakeSession("yarn", None), "t")
+    local = FakeSession("local[2]", None)
+    first, second = scratch_folder(local, "t"), scratch_folder(local, "t")
+    assert first != second and Path(first).parent == Path(second).parent
