@@ -118,6 +118,12 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_weather(spark, staged(spark, sf_dir, "weather"))
 
 
+def stored_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`trips` as a month-partitioned Parquet table, without its month columns."""
+    path = staged(spark, sf_dir, "trips")
+    return read_trips_parquet(spark, path).select(*TRIP_COLUMNS)
+
+
 def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(staged(spark, sf_dir, "processed_table"))
 
@@ -126,9 +132,13 @@ def _stage_weather(spark: SparkSession, sf_dir: str, place: str) -> None:
     write_parquet(weather_rows(spark, sf_dir), place)
 
 
+def _stage_trips(spark: SparkSession, sf_dir: str, place: str) -> None:
+    write_months(trips(spark, sf_dir), place)
+
+
 def _stage_csv(spark: SparkSession, sf_dir: str, place: str) -> None:
     (
-        trips(spark, sf_dir)
+        stored_trips(spark, sf_dir)
         .write.option("header", True)
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         .option("maxRecordsPerFile", 500_000)
@@ -162,7 +172,7 @@ def _stage_zip(spark: SparkSession, sf_dir: str, place: str) -> None:
 
 
 def _stage_raw(spark: SparkSession, sf_dir: str, place: str) -> None:
-    write_months(ingest_trips(trips(spark, sf_dir)), place)
+    write_months(ingest_trips(stored_trips(spark, sf_dir)), place)
 
 
 def _stage_long(spark: SparkSession, sf_dir: str, place: str) -> None:
@@ -184,6 +194,7 @@ def _stage_processed_table(spark: SparkSession, sf_dir: str, place: str) -> str:
 
 _STAGES: dict[str, Callable[[SparkSession, str, str], str | None]] = {
     "weather": _stage_weather,
+    "trips": _stage_trips,
     "csv": _stage_csv,
     "zip": _stage_zip,
     "raw": _stage_raw,

@@ -178,7 +178,7 @@ def cast_trips(spark, sf_dir):
 
 @query
 def drop_na_any(spark, sf_dir):
-    return shown(op.drop_na_any(derived.trips(spark, sf_dir)))
+    return shown(op.drop_na_any(derived.stored_trips(spark, sf_dir)))
 
 
 @query
@@ -188,7 +188,7 @@ def rename_weather_key(spark, sf_dir):
 
 @query
 def add_date_key(spark, sf_dir):
-    return op.add_date_key(derived.trips(spark, sf_dir), as_text=True).select("ride_id", "date")
+    return op.add_date_key(derived.stored_trips(spark, sf_dir), as_text=True).select("ride_id", "date")
 
 
 @query
@@ -201,7 +201,7 @@ def weather_date_text(spark, sf_dir):
 
 @query
 def project_trips(spark, sf_dir):
-    dated = op.add_date_key(derived.trips(spark, sf_dir), as_text=True)
+    dated = op.add_date_key(derived.stored_trips(spark, sf_dir), as_text=True)
     return shown(op.project_trips(dated, 100, order_by="ride_id"))
 
 
@@ -212,19 +212,19 @@ def select_all_limit(spark, sf_dir):
 
 @query
 def project_4_year(spark, sf_dir):
-    return shown(op.project_day_and_year(derived.trips(spark, sf_dir)))
+    return shown(op.project_day_and_year(derived.stored_trips(spark, sf_dir)))
 
 
 @query
 def drop_index_col(spark, sf_dir):
-    indexed = derived.trips(spark, sf_dir).withColumn("__index_level_0__", F.lit(0))
+    indexed = derived.stored_trips(spark, sf_dir).withColumn("__index_level_0__", F.lit(0))
     return shown(op.drop_index_col(indexed))
 
 
 @query
 def column_overlap(spark, sf_dir):
     """Weather that also has a ``cost`` column: both survive, told apart by suffix."""
-    trips = op.add_cost(op.add_distance(derived.trips(spark, sf_dir)))
+    trips = op.add_cost(op.add_distance(derived.stored_trips(spark, sf_dir)))
     weather = derived.weather(spark, sf_dir).withColumn("cost", F.col("tempmax") * 10)
     joined = op.join_weather(op.add_date_key(trips), weather)
     return joined.select("ride_id", "cost_x", "cost_y")
@@ -235,7 +235,7 @@ def column_overlap(spark, sf_dir):
 
 @query
 def join_weather(spark, sf_dir):
-    dated = op.add_date_key(derived.trips(spark, sf_dir))
+    dated = op.add_date_key(derived.stored_trips(spark, sf_dir))
     joined = op.join_weather(dated, derived.weather(spark, sf_dir))
     return shown(op.date_as_text(joined))
 
@@ -259,7 +259,7 @@ def count_multi_month(spark, sf_dir):
 
 @query
 def count_before_clean(spark, sf_dir):
-    return op.clean_report(derived.trips(spark, sf_dir))
+    return op.clean_report(derived.stored_trips(spark, sf_dir))
 
 
 @query
@@ -284,17 +284,17 @@ def limit_n(spark, sf_dir):
 
 @query
 def add_distance(spark, sf_dir):
-    return op.add_distance(derived.trips(spark, sf_dir)).select("ride_id", "distance")
+    return op.add_distance(derived.stored_trips(spark, sf_dir)).select("ride_id", "distance")
 
 
 @query
 def add_travel_time(spark, sf_dir):
-    return op.add_travel_time(derived.trips(spark, sf_dir)).select("ride_id", "travel_time")
+    return op.add_travel_time(derived.stored_trips(spark, sf_dir)).select("ride_id", "travel_time")
 
 
 @query
 def add_cost(spark, sf_dir):
-    return op.add_cost(op.add_distance(derived.trips(spark, sf_dir))).select(
+    return op.add_cost(op.add_distance(derived.stored_trips(spark, sf_dir))).select(
         "ride_id", "rideable_type", "member_casual", "distance", "cost"
     )
 
@@ -306,7 +306,7 @@ def day_format(spark, sf_dir):
 
 @query
 def cast_to_text(spark, sf_dir):
-    dated = op.add_date_key(derived.trips(spark, sf_dir))
+    dated = op.add_date_key(derived.stored_trips(spark, sf_dir))
     return op.date_as_text(dated).select("ride_id", "date")
 
 
@@ -367,12 +367,12 @@ def report_weather_km(spark, sf_dir):
 @query
 def daily_extremes(spark, sf_dir):
     """Raw trips to the ten best and ten worst days, in one job."""
-    ends = plans.daily_extremes(derived.trips(spark, sf_dir), derived.weather(spark, sf_dir))
+    ends = plans.daily_extremes(derived.stored_trips(spark, sf_dir), derived.weather(spark, sf_dir))
     return rounded(ends, "distance")
 
 
 @query
 def weather_daily_avg_from_trips(spark, sf_dir):
-    measured = op.add_distance(op.drop_na_any(derived.trips(spark, sf_dir)))
+    measured = op.add_distance(op.drop_na_any(derived.stored_trips(spark, sf_dir)))
     report = op.weather_daily_avg_from_trips(measured, derived.weather(spark, sf_dir))
     return rounded(report, "distance")
