@@ -1,81 +1,14 @@
-"""The programs: operators in their working order, still lazy until a sink runs.
-
-``ingest_trips``, ``enrich_trips`` and ``ingest_and_enrich`` differ in one way that
-changes results.  Ingest turns a missing station name into text, so the later
-clean-up in ``enrich_trips`` keeps that row; ``ingest_and_enrich`` cleans first and
-drops it.
-"""
-
-from __future__ import annotations
-
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame
-
-from ..functions import DEFAULT_TARIFF
-from ..functions.fares import Fare
-from ..operators import (
-    add_cost,
-    add_date_key,
-    add_distance,
-    add_travel_time,
-    both_ends,
-    cast_trips,
-    date_as_text,
-    drop_na_any,
-    join_weather,
-    parse_timestamps,
-    weather_daily_avg,
-)
-from ..schema import TRIP_COLUMNS, TRIPS_ENRICHED
-
-
-def ingest_trips(raw: DataFrame, null_text: str | None = "nan") -> DataFrame:
-    """Text trips to typed trips, ready for a month-partitioned write."""
-    return cast_trips(parse_timestamps(raw), null_text)
-
-
-def _measured(
-    trips: DataFrame, tariff: Sequence[Fare] | DataFrame, cost_basis: str
-) -> DataFrame:
-    timed = add_travel_time(add_distance(parse_timestamps(trips)))
-    return add_cost(timed, tariff, cost_basis)
-
-
-def enrich_trips(
-    trips: DataFrame,
-    weather: DataFrame,
-    tariff: Sequence[Fare] | DataFrame = DEFAULT_TARIFF,
-    cost_basis: str = "distance",
-    collision: str = "suffix",
-) -> DataFrame:
-    """Ingested trips to complete trips with distance, time, cost and weather."""
-    measured = _measured(drop_na_any(trips), tariff, cost_basis)
-    joined = join_weather(add_date_key(measured), weather, collision=collision)
-    return date_as_text(joined)
-
-
-def ingest_and_enrich(
-    raw: DataFrame,
-    weather: DataFrame,
-    tariff: Sequence[Fare] | DataFrame = DEFAULT_TARIFF,
-    cost_basis: str = "distance",
-    null_text: str | None = "nan",
-    collision: str = "suffix",
-) -> DataFrame:
-    """Both steps over text trips in one pass, incomplete rows dropped first."""
-    measured = _measured(drop_na_any(raw, list(TRIP_COLUMNS)), tariff, cost_basis)
-    typed = cast_trips(measured, null_text, TRIPS_ENRICHED)
-    return date_as_text(join_weather(add_date_key(typed), weather, collision=collision))
-
-
-def join_only(trips: DataFrame, weather: DataFrame, collision: str = "suffix") -> DataFrame:
-    """Trips with the day's weather: nothing dropped for NULLs, nothing measured."""
-    return date_as_text(join_weather(add_date_key(trips), weather, collision=collision))
-
-
-def daily_extremes(trips: DataFrame, weather: DataFrame, n: int = 10) -> DataFrame:
-    """Raw trips to the n best and n worst days, keeping only the columns it needs."""
-    measured = add_date_key(add_distance(drop_na_any(trips)))
-    slim = measured.select("date", "distance")
-    return both_ends(weather_daily_avg(join_weather(slim, weather)), n)
+from .jobs import enrich_months, ingest_months, join_months, report_days
+from .programs import daily_extremes, enrich_trips, ingest_and_enrich, ingest_trips, join_only
+
+__all__ = [
+    "daily_extremes",
+    "enrich_months",
+    "enrich_trips",
+    "ingest_and_enrich",
+    "ingest_months",
+    "ingest_trips",
+    "join_months",
+    "join_only",
+    "report_days",
+]

@@ -1,4 +1,6 @@
 from .trips import (
+    file_month,
+    month_files,
     read_table,
     read_trips_csv,
     read_trips_parquet,
@@ -9,6 +11,8 @@ from .trips import (
 from .weather import read_weather
 
 __all__ = [
+    "file_month",
+    "month_files",
     "read_table",
     "read_trips_csv",
     "read_trips_parquet",

@@ -15,11 +15,33 @@ from pyspark.sql import types as T
 from ..schema import TRIP_COLUMNS, TRIPS, TRIPS_TEXT
 
 
+def month_files(folder: str, year: int | str, months: Iterable[int | str], ending: str) -> str:
+    """Wildcard for files named ``yyyymm-...`` of the given months.
+
+    One pattern rather than a path per month: a month that is not there does not
+    match, and the others are read.
+    """
+    stems = ",".join(f"{int(year):04d}{int(m):02d}" for m in months)
+    return f"{folder.rstrip('/')}/{{{stems}}}-*{ending}"
+
+
+def file_month(df: DataFrame) -> DataFrame:
+    """``year`` and ``month`` from the name of the file in ``source``, which is dropped."""
+    stem = F.regexp_extract("source", r"/(\d{6})-[^/]*$", 1)
+    return df.withColumns(
+        {
+            "year": F.substring(stem, 1, 4).cast("int"),
+            "month": F.substring(stem, 5, 2).cast("int"),
+        }
+    ).drop("source")
+
+
 def read_trips_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
     null_words: Iterable[str] = (),
     multi_line: bool = False,
+    with_source: bool = False,
 ) -> DataFrame:
     """CSV with a header, every column as text; empty fields are NULL.
 
@@ -36,14 +58,19 @@ def read_trips_csv(
         .option("escape", '"')
         .option("multiLine", multi_line)
     )
-    return _without_words(reader.csv(paths if isinstance(paths, str) else list(paths)), null_words)
+    df = reader.csv(paths if isinstance(paths, str) else list(paths))
+    if with_source:
+        df = df.withColumn("source", F.col("_metadata.file_path"))
+    return _without_words(df, null_words)
 
 
 def _without_words(df: DataFrame, words: Iterable[str]) -> DataFrame:
     words = list(words)
     if not words:
         return df
-    return df.select(*[F.when(~F.col(c).isin(words), F.col(c)).alias(c) for c in df.columns])
+    return df.withColumns(
+        {c: F.when(~F.col(c).isin(words), F.col(c)) for c in TRIP_COLUMNS if c in df.columns}
+    )
 
 
 # --- zipped CSV -----------------------------------------------------------------
@@ -87,7 +114,7 @@ def trips_from_archives(archives: DataFrame, null_words: Iterable[str] = ()) ->
     """
     schema = T.StructType([T.StructField("source", T.StringType()), *TRIPS_TEXT.fields])
     rows = archives.select("path", "content").mapInArrow(_unzip, schema)
-    return _without_words(rows, null_words) if null_words else rows
+    return _without_words(rows, null_words)
 
 
 def read_trips_zip(
