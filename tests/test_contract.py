@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from contract import derived
+from velo_contract import derived
 from veloclima import plans
 from veloclima.operators import clean_report, weather_daily_avg
 

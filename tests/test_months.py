@@ -43,7 +43,9 @@ def test_runs():
         month_runs(2022, [13])
 
 
-def test_select_by_time_and_by_partition_agree(spark, trips, tmp_path):
+@pytest.mark.parametrize("zone", ["UTC", "Pacific/Auckland"])
+def test_select_by_time_and_by_partition_agree(spark, conf, trips, tmp_path, zone):
+    conf("spark.sql.session.timeZone", zone)
     path = str(tmp_path / "m")
     write_months(trips, path)
     stored = read_trips_parquet(spark, path)

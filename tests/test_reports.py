@@ -149,3 +149,13 @@ def test_unused_columns_are_not_read(stored):
     trips, weather = stored
     plan = plan_of(join_weather(add_date_key(trips), weather).select("ride_id", "icon"))
     assert "start_lat" not in plan
+
+
+def test_generated_methods_stay_small_enough_to_compile(spark, stored, conf):
+    """HotSpot leaves methods over 8000 bytes interpreted, some twenty times slower."""
+    conf("spark.sql.adaptive.enabled", "false")
+    trips, weather = stored
+    for df in (plans.enrich_trips(trips, weather), plans.daily_extremes(trips, weather)):
+        stages = df._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [stages.apply(n)._3().maxMethodCodeSize() for n in range(stages.size())]
+        assert sizes and max(sizes) < 8000

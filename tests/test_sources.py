@@ -126,7 +126,9 @@ def test_parquet_by_wildcard_knows_its_files(spark, make_trips, tmp_path):
     assert read_trips_parquet(spark, two).count() == 4
 
 
-def test_nanosecond_files_of_pandas(spark, conf, tmp_path):
+@pytest.mark.parametrize("zone", ["UTC", "America/Chicago"])
+def test_nanosecond_files_of_pandas(spark, conf, tmp_path, zone):
+    conf("spark.sql.session.timeZone", zone)
     stamp = pd.Timestamp("2022-03-13 02:30:00.123456789")
     early = pd.Timestamp("1969-12-31 23:59:59.999999500")
     frame = pd.DataFrame({"started_at": [stamp, early], "ended_at": [stamp, early]})

@@ -34,9 +34,16 @@ def test_no_session_zone_bends_a_duration_or_a_day(make_trips, conf, zone):
         "started_at": dt.datetime(2022, 3, 13, 1, 30),
         "ended_at": dt.datetime(2022, 3, 13, 3, 30),
     }
-    late = {"started_at": dt.datetime(2022, 3, 13, 23, 59, 59), "ended_at": T0}
-    trips = make_trips(spring, late)
-    assert minutes(trips)[0] == 120.0
+    skipped = {  # an hour that a clock in Chicago never shows
+        "started_at": dt.datetime(2022, 3, 13, 2, 15),
+        "ended_at": dt.datetime(2022, 3, 13, 3, 15),
+    }
+    late = {
+        "started_at": dt.datetime(2022, 3, 13, 23, 59, 59),
+        "ended_at": dt.datetime(2022, 3, 13, 23, 58, 59),
+    }
+    trips = make_trips(spring, skipped, late)
+    assert minutes(trips) == [120.0, 60.0, -1.0]
     assert {r.date for r in add_date_key(trips, as_text=True).collect()} == {"2022-03-13"}
 
 

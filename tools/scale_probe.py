@@ -16,7 +16,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from contract import derived  # noqa: E402
+from velo_contract import derived  # noqa: E402
 from veloclima import operators as op  # noqa: E402
 from veloclima import plans, sinks, sources  # noqa: E402
 from veloclima.schema import TRIP_COLUMNS  # noqa: E402

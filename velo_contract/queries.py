@@ -28,7 +28,7 @@ def query(fn: Query) -> Query:
 def shown(df: DataFrame) -> DataFrame:
     """Times as text, so that two engines print them alike."""
     times = [name for name, kind in df.dtypes if kind == "timestamp_ntz"]
-    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in times})
+    return df.withColumns({c: F.col(c).cast("string") for c in times})
 
 
 def rounded(report: DataFrame, *columns: str) -> DataFrame:

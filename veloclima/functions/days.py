@@ -19,8 +19,15 @@ def day_text(value: Column | str) -> Column:
 
 
 def minutes_between(start: str, end: str) -> Column:
-    """Wall-clock minutes.  A cast to TIMESTAMP would bend them at a DST change."""
-    return F.timestamp_diff("MICROSECOND", F.col(start), F.col(end)) / F.lit(60e6)
+    """Wall-clock minutes between zone-less times.
+
+    The difference of two such columns is an interval and knows no zone.  Anything
+    that takes TIMESTAMP, ``timestamp_diff`` included, first casts them in the
+    session's zone and moves times that a DST change skips there.
+    """
+    elapsed = (F.col(end) - F.col(start)).cast("interval second")
+    seconds = elapsed.cast("decimal(18,6)").cast("double")
+    return F.rint(seconds * F.lit(1e6)) / F.lit(60e6)  # whole microseconds, divided once
 
 
 def month_runs(year: int, months: Iterable[int | str]) -> list[tuple[str, str]]:
