@@ -47,14 +47,12 @@ TEXTS = [c for c in COLUMNS if c[-3:] not in ("_at", "lat", "lng")]
 COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in COLUMNS)
 
 
-def listed(*extra: str, nan_text: bool = False) -> str:
-    """The trip columns for output: times as text, missing texts as 'nan' on request."""
+def listed(*extra: str) -> str:
+    """The trip columns for output, times as text, then ``extra``."""
     out = []
     for c in COLUMNS:
         if c.endswith("_at"):
             out.append(f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}")
-        elif nan_text and c in TEXTS:
-            out.append(f"coalesce({c}, 'nan') AS {c}")
         else:
             out.append(c)
     return ", ".join([*out, *extra])
@@ -174,7 +172,9 @@ TIES = "day NULLS FIRST, icon NULLS FIRST, tempmax NULLS FIRST"
 HIGHEST = f"{DAILY} ORDER BY avg(processed.distance) DESC NULLS LAST, {TIES} LIMIT 10"
 LOWEST = f"{DAILY} ORDER BY avg(processed.distance) ASC NULLS FIRST, {TIES} LIMIT 10"
 
-YEAR_MONTH = "year(started_at) AS year, month(started_at) AS month"
+YEAR_MONTH = (
+    "CAST(year(started_at) AS INTEGER) AS year, CAST(month(started_at) AS INTEGER) AS month"
+)
 JOINED = (
     f"SELECT {{}} FROM (SELECT *, strftime(started_at, '%Y-%m-%d') AS date FROM {{}})"
     " JOIN weather ON date = datetime"
@@ -198,14 +198,12 @@ def oracle() -> dict[str, str]:
     finished = f"SELECT {listed(*PLUS)} FROM processed"
     return {
         "src_csv_month": with_(trips, rows),
-        "src_zip_csv": with_(
-            trips, f"SELECT {listed()} FROM trips"
-        ),
+        "src_zip_csv": with_(trips, rows),
         "src_parquet": with_(nan, ingested),
         "src_parquet_glob": with_(
             long,
-            "SELECT ride_id, year(started_at) AS source_year, month(started_at) AS source_month"
-            " FROM trips",
+            "SELECT ride_id, CAST(year(started_at) AS INTEGER) AS source_year,"
+            " CAST(month(started_at) AS INTEGER) AS source_month FROM trips",
         ),
         "src_weather": with_(weather, "SELECT datetime, icon, tempmax FROM weather"),
         "src_table": with_(done, finished),
