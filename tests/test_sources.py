@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from veloclima import plans
 from veloclima.schema import TRIP_COLUMNS, TRIPS, TRIPS_TEXT
 from veloclima.sources import (
+    PANDAS_NULL_WORDS,
     read_table,
     read_trips_csv,
     read_trips_parquet,
@@ -52,6 +53,15 @@ def test_csv_keeps_text_and_reads_quotes(spark, tmp_path):
     assert words["4"].start_station_name is None and words["1"].start_station_name == "Clark, St"
 
 
+def test_null_words_of_pandas(spark, tmp_path):
+    file = tmp_path / "w.csv"
+    words = [*PANDAS_NULL_WORDS, "na", "Null"]
+    file.write_text(csv_text(*[LINE.format(id=n, name=w) for n, w in enumerate(words)]))
+    missing = pd.read_csv(file, dtype=str)["start_station_name"].isna().tolist()
+    rows = rows_of(read_trips_csv(spark, str(file), null_words=PANDAS_NULL_WORDS))
+    assert [rows[str(n)].start_station_name is None for n in range(len(words))] == missing
+
+
 def test_csv_refuses_another_layout(spark, tmp_path):
     (tmp_path / "a.csv").write_text(csv_text(header=HEADER.replace("start_lat", "from_latitude")))
     (tmp_path / "a.csv").open("a").write(LINE.format(id="1", name="A") + "\n")

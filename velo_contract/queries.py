@@ -115,7 +115,7 @@ def sink_parquet_month(spark, sf_dir):
 def sink_append(spark, sf_dir):
     path = scratch_folder(spark, "appended")
     for _ in range(2):
-        sinks.append_months(_raw(spark, sf_dir), path)
+        sinks.append_months(_raw(spark, sf_dir), path, rows_per_file=sinks.CHUNK_ROWS)
     return op.count_by_month(sources.read_trips_parquet(spark, path))
 
 

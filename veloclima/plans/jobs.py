@@ -29,11 +29,14 @@ def ingest_months(
     months: Months,
     target: str,
     ending: str = ".zip",
+    rebalance: bool = False,
 ) -> DataFrame:
     """Monthly files named ``yyyymm-...`` to the raw table; returns the months it still lacks.
 
     Partitions follow the file's month, so a trip that strays over midnight stays
     with its file, and running a month again replaces that month and no other.
+    An archive is unpacked by one task; with ``rebalance`` a large one is at least
+    written by many.
     """
     months = sorted({int(m) for m in months})
     pattern = month_files(folder, year, months, ending)
@@ -42,7 +45,7 @@ def ingest_months(
     else:
         found = read_trips_csv(spark, pattern, with_source=True)
     trips = ingest_trips(file_month(found), keep=("year", "month"))
-    replace_months(trips, target)
+    replace_months(trips, target, rebalance=rebalance)
     asked = months_between(spark, f"{year}-{months[0]:02d}", f"{year}-{months[-1]:02d}")
     wanted = month_select(asked, year, months)
     return month_coverage(read_trips_parquet(spark, target), wanted)
@@ -56,12 +59,13 @@ def enrich_months(
     year: int | str,
     months: Months,
     replace: bool = False,
+    rebalance: bool = False,
     **options,
 ) -> None:
     """Raw months to the enriched table: appended, or replacing what is there."""
     chosen = month_select(read_trips_parquet(spark, raw), year, months)
     done = enrich_trips(chosen, read_weather(spark, weather), **options)
-    (replace_months if replace else append_months)(done, target)
+    (replace_months if replace else append_months)(done, target, rebalance=rebalance)
 
 
 def join_months(spark: SparkSession, raw: str, weather: str, target: str) -> None:

@@ -5,6 +5,10 @@ writer month by month, so each task opens few files.  Where it does not,
 ``rebalance=True`` gathers months first.  That shuffle is Spark's rebalance: a
 month far larger than the others is split over several tasks, not squeezed
 through one.
+
+A task writes one file per month it meets.  ``rows_per_file`` cuts files shorter
+(``CHUNK_ROWS`` is a customary load chunk); at many terabytes leave it off,
+or the table turns into millions of small files.
 """
 
 from __future__ import annotations
@@ -14,9 +18,9 @@ from pyspark.sql import functions as F
 
 from ..operators.months import with_month
 
-# --- fixed value: rows per written chunk ---
-ROWS_PER_FILE = 500_000
-# -------------------------------------------
+# --- fixed value: rows per appended chunk ---
+CHUNK_ROWS = 500_000
+# --------------------------------------------
 
 
 def _writer(df: DataFrame, mode: str, rows_per_file: int) -> DataFrameWriter:
@@ -41,7 +45,7 @@ def write_months(
     path: str,
     mode: str = "errorifexists",
     stamp: str = "started_at",
-    rows_per_file: int = ROWS_PER_FILE,
+    rows_per_file: int = 0,
     rebalance: bool = False,
 ) -> None:
     """Parquet under ``year=/month=`` folders."""
@@ -57,7 +61,7 @@ def replace_months(
     df: DataFrame,
     path: str,
     stamp: str = "started_at",
-    rows_per_file: int = ROWS_PER_FILE,
+    rows_per_file: int = 0,
     rebalance: bool = False,
 ) -> None:
     """Replace exactly the months present in ``df``; a re-run changes nothing."""
@@ -66,7 +70,7 @@ def replace_months(
 
 
 def write_parquet(
-    df: DataFrame, path: str, mode: str = "errorifexists", rows_per_file: int = ROWS_PER_FILE
+    df: DataFrame, path: str, mode: str = "errorifexists", rows_per_file: int = 0
 ) -> None:
     """Plain Parquet, e.g. the joined table: ``overwrite``, ``append`` or ``errorifexists``."""
     _writer(df, mode, rows_per_file).parquet(path)
@@ -77,7 +81,7 @@ def write_table(
     name: str,
     mode: str = "errorifexists",
     path: str | None = None,
-    rows_per_file: int = ROWS_PER_FILE,
+    rows_per_file: int = 0,
 ) -> None:
     """A catalog table stored as Parquet, in the warehouse or at ``path``."""
     writer = _writer(df, mode, rows_per_file).format("parquet")

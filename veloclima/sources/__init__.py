@@ -1,4 +1,5 @@
 from .trips import (
+    PANDAS_NULL_WORDS,
     file_month,
     month_files,
     read_table,
@@ -11,6 +12,7 @@ from .trips import (
 from .weather import read_weather
 
 __all__ = [
+    "PANDAS_NULL_WORDS",
     "file_month",
     "month_files",
     "read_table",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import io
 import zipfile
 from collections.abc import Iterable, Iterator, Sequence
 
@@ -15,6 +14,14 @@ from pyspark.sql import types as T
 from ..schema import TRIP_COLUMNS, TRIPS, TRIPS_TEXT
 
 
+# --- fixed values: what pandas takes for missing unless told otherwise ---------------
+PANDAS_NULL_WORDS = (
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+# -------------------------------------------------------------------------------------
+
+
 def month_files(folder: str, year: int | str, months: Iterable[int | str], ending: str) -> str:
     """Wildcard for files named ``yyyymm-...`` of the given months.
 
@@ -47,8 +54,8 @@ def read_trips_csv(
 
     Text keeps an id such as ``00123`` whole.  A header that does not match the
     layout, or a row of another width, is an error.  ``null_words`` names further
-    spellings of a missing value.  Files are split by line across tasks unless
-    ``multi_line`` allows line breaks inside quotes.
+    spellings of a missing value, e.g. ``PANDAS_NULL_WORDS``.  Files are split by
+    line across tasks unless ``multi_line`` allows line breaks inside quotes.
     """
     reader = (
         spark.read.schema(TRIPS_TEXT)
@@ -78,9 +85,12 @@ def _without_words(df: DataFrame, words: Iterable[str]) -> DataFrame:
 _BLOCK_BYTES = 8 << 20
 
 
-def _first_member_rows(archive: bytes) -> Iterator[pa.RecordBatch]:
-    """Trip rows of an archive's first member, a block at a time; later members are ignored."""
-    with zipfile.ZipFile(io.BytesIO(archive)) as box:
+def _first_member_rows(archive: pa.Buffer) -> Iterator[pa.RecordBatch]:
+    """Trip rows of an archive's first member, a block at a time; later members are ignored.
+
+    The archive is read in place: neither it nor its content is copied whole.
+    """
+    with zipfile.ZipFile(pa.BufferReader(archive)) as box:
         members = box.infolist()
         if not members:
             return
@@ -101,7 +111,7 @@ def _unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["source", *TRIP_COLUMNS]
     for batch in batches:
         for path, content in zip(batch.column(0), batch.column(1), strict=True):
-            for rows in _first_member_rows(content.as_py()):
+            for rows in _first_member_rows(content.as_buffer()):
                 source = pa.array([path.as_py()] * rows.num_rows, pa.string())
                 yield pa.RecordBatch.from_arrays([source, *rows.columns], names)
 
