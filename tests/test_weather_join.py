@@ -93,3 +93,24 @@ def test_salting_changes_the_spread_but_not_the_rows(spark, make_trips, weather,
     assert salted.filter(hot_day).select("_task").distinct().count() > 1
     with pytest.raises(ValueError):
         join_weather(trips, weather, salt=0)
+
+
+def test_a_hot_day_is_split_at_run_time(spark, make_trips, weather, conf):
+    """Beyond the broadcast threshold, nine tenths of the trips on one day."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "128k")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
+    day = F.when(F.col("id") % 10 == 0, F.lit("2022-09-15")).otherwise(F.lit("2022-09-14"))
+    many = (
+        make_trips({})
+        .drop("ride_id", "started_at")
+        .crossJoin(spark.range(0, 40_000, 1, 8))
+        .withColumn("ride_id", F.sha2(F.col("id").cast("string"), 256))
+        .withColumn("date", F.to_date(day))
+        .drop("id")
+    )
+    joined = join_weather(many, weather).select("ride_id", "icon")
+    rows = joined.collect()
+    assert len({r.ride_id for r in rows}) == len(rows) == 40_000
+    assert "SortMergeJoin(skew=true)" in plan_of(joined)
