@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, mixing, quality_rules, simhash
+from . import decontaminate, line_dedup, mixing, quality_rules, simhash, substring_dedup, suffix_dedup
 
 QUERIES = {}
 
@@ -38,6 +38,18 @@ def op3_simhash(spark, sf_dir):
     return simhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op5_substring_dedup(spark, sf_dir):
+    rows = substring_dedup.dedup_substrings(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op6_suffix_dedup(spark, sf_dir):
+    rows = suffix_dedup.dedup_bytes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op8_quality_rules(spark, sf_dir):
     rows = quality_rules.ledger(_table(spark, sf_dir, "documents").select("doc_id", "text"))
