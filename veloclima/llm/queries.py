@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, mixing, quality_rules, simhash, substring_dedup, suffix_dedup
+from . import decontaminate, html_text, line_dedup, mixing, quality_rules, simhash, substring_dedup, suffix_dedup
 
 QUERIES = {}
 
@@ -59,6 +59,11 @@ def op8_quality_rules(spark, sf_dir):
     )
 
 
+@query
+def op9_html_text(spark, sf_dir):
+    return html_text.main_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+
+
 @query
 def op10_line_dedup(spark, sf_dir):
     rows = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
