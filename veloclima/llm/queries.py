@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, line_dedup, mixing, quality_rules, simhash, substring_dedup, suffix_dedup
+from . import decontaminate, html_text, line_dedup, mixing, quality_model, quality_rules, simhash, substring_dedup, suffix_dedup
 
 QUERIES = {}
 
@@ -50,6 +50,14 @@ def op6_suffix_dedup(spark, sf_dir):
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op7_quality_model(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model.fit(documents, _table(spark, sf_dir, "labels"))
+    scored = quality_model.score(documents, model)
+    return scored.select("doc_id", quality_model.is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @query
 def op8_quality_rules(spark, sf_dir):
     rows = quality_rules.ledger(_table(spark, sf_dir, "documents").select("doc_id", "text"))
