@@ -7,8 +7,9 @@ bits that all its members share and that no node above it holds yet.  A search a
 differing bits on its way down and leaves a group as soon as there are too many.
 
 The same holds above the blocks: their shared bits are nodes too, and a fingerprint is sent
-only to those blocks that may hold a neighbour of it.  There are at most ``BLOCKS`` of them,
-which bounds what is broadcast.  Members of a block and the fingerprints sent to it meet in
+only to those blocks that may hold a neighbour of it.  There are ``FEWEST_BLOCKS`` to ``BLOCKS``
+of them: how often a fingerprint is sent grows with the square of the logarithm of their
+number, and their number bounds what is broadcast.  Members of a block and the fingerprints sent to it meet in
 pieces of bounded size, whatever the groups in the data: exact copies count once here.
 
 Defined results: a null or empty text has fingerprint 0 and links like any other; a group
@@ -31,7 +32,7 @@ from .components import components
 SHINGLE = 3
 SEED = 42
 DISTANCE = 2
-BLOCKS = 1 << 16
+FEWEST_BLOCKS, BLOCKS = 1 << 6, 1 << 16
 BLOCK_ROWS = 1 << 15
 SEARCH_ROWS = 200_000  # fingerprints that search a block in one piece
 _FAN = 4
@@ -158,8 +159,7 @@ def links(distinct: DataFrame, tables: Written, distance: int = DISTANCE, finger
     """
     spark = distinct.sparkSession
     n = distinct.count()
-    rows = max(BLOCK_ROWS, -(-n // BLOCKS))
-    blocks = max(1, -(-n // rows))
+    blocks = min(BLOCKS, max(FEWEST_BLOCKS, -(-n // BLOCK_ROWS)))
     members = distinct.select(F.col(fingerprint).alias("member")).withColumn("rank", _gray_rank_column("member"))
     members = members.repartitionByRange(blocks, "rank").select(F.spark_partition_id().alias("block"), "member")
     members = tables(members, "blocks")
@@ -171,7 +171,7 @@ def links(distinct: DataFrame, tables: Written, distance: int = DISTANCE, finger
     held = spark.sparkContext.broadcast((np.array([r.block for r in tops], np.int32), unsigned("one"), unsigned("zero")))
     depth = math.ceil(math.log2(max(2, len(tops))))
     visits = min(len(tops), 1 + depth + depth * (depth - 1) // 2)
-    chunks = max(1, -(-rows * visits // SEARCH_ROWS))
+    chunks = max(1, -(-n * visits // (max(1, len(tops)) * SEARCH_ROWS)))
 
     def send(batches):
         names, one, zero = held.value
