@@ -441,10 +441,11 @@ def extract_texts(pages: list[str], trees: Trees) -> list[str]:
 
 def main_text(pages: DataFrame, page: str = "html", trees: Trees | None = None) -> DataFrame:
     """The pages with text and n_chars."""
-    held = pages.sparkSession.sparkContext.broadcast(trees or fit(pages, page))
+    fitted = trees or fit(pages, page)
+    held = pages.sparkSession.sparkContext.broadcast((fitted.trees, fitted.weights))  # plain arrays
 
     def extract(batch: pa.Array) -> pa.Array:
-        return pa.array(extract_texts([p or "" for p in batch.to_pylist()], held.value), pa.string())
+        return pa.array(extract_texts([p or "" for p in batch.to_pylist()], Trees(*held.value)), pa.string())
 
     own = {"text", "n_chars"} - {page.lower()}
     kept = [c for c in pages.columns if c.lower() not in own]

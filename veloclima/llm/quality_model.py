@@ -143,10 +143,11 @@ def fit(documents: DataFrame, labels: DataFrame, text: str = "text", doc_id: str
 
 def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The documents with score and predicted.  The model is two dictionaries and five numbers."""
-    held = documents.sparkSession.sparkContext.broadcast(model)
+    curve = None if model.curve is None else model.curve.tolist()
+    held = documents.sparkSession.sparkContext.broadcast((model.share, model.dictionaries, curve))
 
     def scores(texts: pa.Array) -> pa.Array:
-        return pa.array(held.value.scores(texts_of(texts)), pa.float64())
+        return pa.array(Model(*held.value).scores(texts_of(texts)), pa.float64())
 
     rows = documents.withColumn("score", F.arrow_udf(scores, "double")(F.col(f"`{text}`").cast("string")))
     return rows.withColumn("predicted", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0))
