@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, line_dedup, mixing, quality_model, quality_rules, simhash, substring_dedup, suffix_dedup
+from . import decontaminate, html_text, line_dedup, mixing, pii, quality_model, quality_rules, simhash, substring_dedup, suffix_dedup
 
 QUERIES = {}
 
@@ -38,6 +38,20 @@ def op3_simhash(spark, sf_dir):
     return simhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op4_pii(spark, sf_dir):
+    rows = pii.find_personal_data(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.coalesce("personal", F.array().cast("array<struct<place:int,start:long,end:long,kind:string,base:boolean>>"))
+    base = F.filter(spans, lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    listed = lambda array: F.array_join(
+        F.transform(array, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    return rows.select(
+        "doc_id", *(count(kind) for kind in pii.BASE), F.sha2(listed(base), 256).alias("base_sha256"), listed(spans).alias("spans")
+    )
+
+
 @query
 def op5_substring_dedup(spark, sf_dir):
     rows = substring_dedup.dedup_substrings(_table(spark, sf_dir, "documents").select("doc_id", "text"))
