@@ -7,8 +7,10 @@ the same in every task and document without a shared table, and equal word seque
 equal symbols except at their ends, where a run or pair may reach outside.  How far the
 ends can differ follows from the inside alone.  What is left are the sure symbols.
 
-Every window of ``WINDOW`` words is anchored at one of its sure symbols after ``ROUNDS``
-rounds, or after fewer where none is left.  Spark counts the symbols: a window whose anchor
+Every window of ``WINDOW`` words is anchored at ``SPAN`` neighbouring sure symbols after
+``ROUNDS`` rounds, those whose joint name is least, or after fewer rounds where not as many
+are left.  More rounds make rarer symbols, but leave fewer of them to choose from, which
+means more anchors.  Spark counts the symbols: a window whose anchor
 occurs once in the corpus occurs once.  The other windows are verified by hashes of all
 they cover (see ``_repeats``), and words in a repeated window are removed.
 
@@ -32,7 +34,8 @@ from ._repeats import ROWS, RangeHash, classify, context_rows, covered, per_key,
 from ._tables import Written, groups_of, mixed, row_key, texts_of
 
 WINDOW = 35
-ROUNDS = 4
+ROUNDS = 2
+SPAN = 3  # neighbouring symbols that make an anchor
 PIECE = 200_000  # words worked on at once; a longer text is taken in overlapping pieces
 
 _RESULT = "n_words long, n_removed long, kept string"
@@ -122,12 +125,15 @@ def anchors(names: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS) -> tu
     left = np.arange(n)
     for depth in range(rounds, -1, -1):
         level = levels[depth]
-        sure = level.low[left] < level.high[left]
+        sure = level.low[left] + SPAN <= level.high[left]
         own = left[sure]
         if len(own):
-            best = least_in(level.symbols, level.low[own], level.high[own])
+            several = level.symbols
+            for k in range(1, SPAN):
+                several = mixed(several[:-1], level.symbols[k:])
+            best = least_in(several, level.low[own], level.high[own] - SPAN + 1)
             place[own] = level.starts[best]
-            name[own] = mixed(level.symbols[best], np.full(len(best), depth, np.uint64))
+            name[own] = mixed(several[best], np.full(len(best), depth, np.uint64))
         left = left[~sure]
     return place, name
 
