@@ -25,6 +25,7 @@ from collections import Counter, defaultdict
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._tables import Written, row_key, texts_of
 
@@ -49,7 +50,10 @@ def _line_hashes(texts: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays(lists, ["hashes", "words"])
 
 
-line_hashes = F.arrow_udf(_line_hashes, "hashes array<long>, words array<int>")
+_LINES = T.StructType(
+    [T.StructField("hashes", T.ArrayType(T.LongType())), T.StructField("words", T.ArrayType(T.IntegerType()))]
+)
+line_hashes = F.arrow_udf(_line_hashes, _LINES)
 
 
 def _in_order(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._tables import Written, row_key, texts_of
 from .components import components
@@ -59,7 +60,7 @@ def fingerprint_of(text: bytes) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def fingerprints(texts: pa.Array) -> pa.Array:
     values = np.array([fingerprint_of(t) for t in texts_of(texts)], dtype=np.uint64)
     return pa.array(values.view(np.int64))
