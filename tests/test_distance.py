@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from conftest import plan_of
-from veloclima.functions import ellipsoid_metres
+from veloclima.functions import ellipsoid_metres, geodesic
 from veloclima.functions.geodesic import EQUATOR_RADIUS_M, FLATTENING
 from veloclima.operators import add_cost, add_distance
 
@@ -46,8 +46,9 @@ def test_known_points_in_spark(make_trips):
         ((41.88, -87.63, 41.88, -87.63), 0.0),
         ((90.0, 0.0, 90.0, 120.0), 0.0),
         ((0.0, 179.5, 0.0, -179.5), 111319.49),  # over the date line, the short way
-        ((41.88, -87.63, -41.5, 92.0), None),  # nearly antipodal
-        ((0.0, 0.0, 0.0, 180.0), None),
+        ((41.88, -87.63, -41.5, 92.0), 19955893.9),  # nearly antipodal
+        ((0.0, 0.0, 0.0, 180.0), 20003931.46),  # over a pole
+        ((0.0, 0.0, 0.5, 179.7), 19944127.42),
         ((91.0, 0.0, 41.0, 0.0), None),
         ((41.0, 0.0, float("nan"), 0.0), None),
         ((None, 0.0, 41.0, 0.0), None),
@@ -90,12 +91,50 @@ def test_symmetry_and_rotation(lat, lng, north, east):
     assert there == pytest.approx(moved, abs=1e-6)
 
 
-def test_one_hard_row_does_not_change_its_batch():
-    easy = [(41.8 + k / 1000, -87.6, 41.9, -87.7 + k / 1000) for k in range(50)]
-    alone = metres(*easy)
-    mixed = metres(*easy, (41.88, -87.63, -41.5, 92.0))
-    assert np.abs(alone - mixed[:-1]).max() < 1e-7
-    assert np.isnan(mixed[-1])
+def globe(seed, n):
+    rng = np.random.default_rng(seed)
+    lat1, lat2 = np.degrees(np.arcsin(rng.uniform(-1, 1, (2, n))))
+    lng1, lng2 = rng.uniform(-180, 180, (2, n))
+    near = np.arange(n) % 4 == 0  # every fourth pair nearly antipodal
+    lat2 = np.where(near, np.clip(-lat1 + rng.normal(0, 0.3, n), -90, 90), lat2)
+    lng2 = np.where(near, lng1 + 180 + rng.normal(0, 0.3, n), lng2)
+    return np.column_stack([lat1, lng1, lat2, lng2])
+
+
+def test_no_valid_pair_is_without_an_answer():
+    got = metres(*globe(1, 40_000))
+    assert np.isfinite(got).all()
+    assert got.max() <= 20_003_931.46  # half a meridian
+
+
+def test_the_two_methods_agree():
+    points = globe(2, 4_000)[np.arange(4_000) % 4 != 0]
+    sin1, cos1 = geodesic._reduced(points[:, 0])
+    sin2, cos2 = geodesic._reduced(points[:, 2])
+    turn = points[:, 3] - points[:, 1]
+    apart = np.radians(turn - 360 * np.rint(turn / 360))
+    first, settled, _ = geodesic._vincenty(sin1, cos1, sin2, cos2, apart)
+    second = geodesic._searched(sin1, cos1, sin2, cos2, apart)
+    assert settled.mean() > 0.99
+    assert np.abs(first - second)[settled].max() < 1e-3
+
+
+def test_long_lines_are_shortest():
+    """No detour over a third point is shorter: catches a wrong branch near the antipode."""
+    points = globe(3, 400)
+    whole = metres(*points)
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        via = np.column_stack([rng.uniform(-89, 89, 400), rng.uniform(-180, 180, 400)])
+        detour = metres(*np.hstack([points[:, :2], via])) + metres(*np.hstack([via, points[:, 2:]]))
+        assert (detour >= whole - 1e-3).all()
+
+
+def test_a_row_does_not_depend_on_its_batch():
+    points = globe(5, 600)
+    together = metres(*points)
+    alone = np.array([metres(p)[0] for p in points])
+    assert (together == alone).all()
 
 
 def test_only_coordinates_go_to_python(make_trips):

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 
@@ -85,3 +86,10 @@ def test_union_keeps_duplicates_and_matches_names(trips):
     assert ids(multi_month_union(trips, turned)) == sorted(ids(trips) * 2)
     with pytest.raises(ValueError):
         multi_month_union()
+
+
+def test_coverage_looks_at_the_expected_years_only(spark, trips, tmp_path):
+    stored = str(tmp_path / "by-month")
+    write_months(trips, stored)
+    plan = plan_of(month_coverage(spark.read.parquet(stored), months_between(spark, "2022-01", "2022-12")))
+    assert re.search(r"PartitionFilters: \[[^\]]*year", plan)

@@ -21,6 +21,7 @@ from veloclima.operators import (
     weather_daily_avg,
     weather_daily_avg_from_trips,
 )
+from veloclima.plans import daily_extremes
 from veloclima.schema import WEATHER
 from veloclima.sources import read_weather
 
@@ -159,3 +160,13 @@ def test_generated_methods_stay_small_enough_to_compile(spark, stored, conf):
         stages = df._jdf.queryExecution().debug().codegenToSeq()
         sizes = [stages.apply(n)._3().maxMethodCodeSize() for n in range(stages.size())]
         assert sizes and max(sizes) < 8000
+
+
+def test_extremes_shuffle_no_single_trip(spark, stored, conf):
+    """Broadcasts off: trips are summed by day in the scan's stage, whatever the day's share."""
+    conf("spark.sql.adaptive.enabled", "false")
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = plan_of(daily_extremes(*stored))
+    below = [plan[m.end() :].split("\n")[1] for m in re.finditer(r"Exchange hashpartitioning\(date#", plan)]
+    assert below and any("partial_sum" in line for line in below)
+    assert plan.count("ArrowEvalPython") == 1 or "ReusedExchange" in plan

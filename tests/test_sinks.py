@@ -105,3 +105,17 @@ def test_scratch_folder_is_shared_or_local():
     local = FakeSession("local[2]", None)
     first, second = scratch_folder(local, "t"), scratch_folder(local, "t")
     assert first != second and Path(first).parent == Path(second).parent
+
+
+def test_replacing_named_months(spark, make_trips, tmp_path):
+    path = str(tmp_path / "t")
+    september, october = {"started_at": dt.datetime(2022, 9, 1)}, {"started_at": dt.datetime(2022, 10, 1)}
+    write_months(make_trips(september, october), path)
+    held = lambda: sorted(r.month for r in spark.read.parquet(path).collect())
+    replace_months(make_trips(september).limit(0), path, months=[(2022, 9)])
+    assert held() == [10]
+    with pytest.raises(Exception, match="outside the months"):
+        replace_months(make_trips(september, october), path, months=[(2022, 9)])
+    assert held() == [10]
+    replace_months(make_trips(september, september), path, months=[(2022, 9)], rebalance=True)
+    assert held() == [9, 9, 10]

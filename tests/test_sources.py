@@ -1,10 +1,12 @@
 import datetime as dt
+import random
 import zipfile
 
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,7 @@ from veloclima.sources import (
     read_trips_parquet,
     read_trips_zip,
     timestamps_from_nanos,
+    trips_from_archives,
 )
 
 HEADER = ",".join(TRIP_COLUMNS)
@@ -115,15 +118,27 @@ def test_zip_and_csv_agree_over_many_blocks(spark, tmp_path):
     assert zipped.exceptAll(plain).isEmpty() and plain.exceptAll(zipped).isEmpty()
 
 
-def test_zip_columns_are_found_by_name(spark, tmp_path):
-    turned = ",".join(reversed(LINE.format(id="1", name="A").split(",")))
-    archive(
-        tmp_path / "m.zip", ("m.csv", csv_text(turned, header=",".join(reversed(TRIP_COLUMNS))))
-    )
-    assert read_trips_zip(spark, str(tmp_path / "m.zip")).first().member_casual == "member"
-    archive(tmp_path / "bad.zip", ("m.csv", "a,b\n1,2\n"))
+@pytest.mark.parametrize("header", [list(TRIP_COLUMNS)[::-1], [*TRIP_COLUMNS, "extra"], ["a", "b"]])
+def test_zip_and_csv_refuse_another_header(spark, tmp_path, header):
+    text = ",".join(header) + "\n" + ",".join("1" * len(header)) + "\n"
+    archive(tmp_path / "m.zip", ("m.csv", text))
+    (tmp_path / "m.csv").write_text(text)
     with pytest.raises(PySparkException):
-        read_trips_zip(spark, str(tmp_path / "bad.zip")).collect()
+        read_trips_zip(spark, str(tmp_path / "m.zip")).collect()
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        read_trips_csv(spark, str(tmp_path / "m.csv")).collect()
+
+
+@pytest.mark.parametrize("n", [10, 300_000])
+def test_zip_reads_line_breaks_in_quotes_at_any_size(spark, tmp_path, n):
+    text = csv_text(*[LINE.format(id=i, name=f'"S {i}\nside"') for i in range(n)])
+    assert n < 100 or len(text) > 3 * (8 << 20)
+    archive(tmp_path / "m.zip", ("m.csv", text))
+    by_path = read_trips_zip(spark, str(tmp_path / "m.zip"))
+    whole = spark.read.format("binaryFile").load(str(tmp_path / "m.zip"))
+    for rows in (by_path, trips_from_archives(whole)):
+        good = F.col("start_station_name") == F.concat(F.lit("S "), "ride_id", F.lit("\nside"))
+        assert tuple(rows.agg(F.count("*"), F.count_if(good)).first()) == (n, n)
 
 
 def test_parquet_by_wildcard_knows_its_files(spark, make_trips, tmp_path):
@@ -154,6 +169,18 @@ def test_nanosecond_files_of_pandas(spark, conf, tmp_path, zone):
     ]
 
 
+def test_nanoseconds_are_exact(spark):
+    """Millisecond and microsecond times on both sides of 1970, where a double is too short."""
+    rng = random.Random(3)
+    micros = [rng.randrange(-(10**15), 3 * 10**15) for _ in range(2000)]
+    micros += [m // 1000 * 1000 for m in micros]
+    rows = [(m * 1000, m * 1000 + rng.randrange(1000)) for m in micros]
+    df = timestamps_from_nanos(spark.createDataFrame(rows, "started_at long, ended_at long"))
+    epoch = dt.datetime(1970, 1, 1)
+    want = [epoch + dt.timedelta(microseconds=m) for m in micros]
+    assert [tuple(r) for r in df.collect()] == [(w, w) for w in want]
+
+
 def test_table_and_parallelism(spark, make_trips):
     make_trips(*[{}] * 12).write.mode("overwrite").saveAsTable("t_trips")
     assert read_table(spark, "t_trips").schema == TRIPS

@@ -5,6 +5,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from conftest import plan_of
 from veloclima.functions import DEFAULT_TARIFF, round_half_even
 from veloclima.operators import add_cost, add_date_key, add_distance, add_travel_time, date_as_text
 from veloclima.schema import TARIFF
@@ -126,3 +127,18 @@ def test_day_is_a_date_inside_and_text_outside(make_trips):
     dated = add_date_key(make_trips({}))
     assert dict(dated.dtypes)["date"] == "date"
     assert date_as_text(dated).first().date == "2022-09-14"
+
+
+def test_a_tariff_in_memory_does_not_shuffle_trips(spark, every_cell):
+    table = spark.createDataFrame(list(DEFAULT_TARIFF), TARIFF)
+    plan = plan_of(add_cost(every_cell, table), run=True)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_a_tariff_beyond_the_threshold_is_salted(spark, every_cell, conf):
+    table = spark.createDataFrame(list(DEFAULT_TARIFF), TARIFF)
+    want = {r.ride_id: r.cost for r in add_cost(every_cell, table).collect()}
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    salted = add_cost(every_cell, table, salt=4)
+    assert "_salt" in plan_of(salted)
+    assert {r.ride_id: r.cost for r in salted.collect()} == want

@@ -114,3 +114,14 @@ def test_a_hot_day_is_split_at_run_time(spark, make_trips, weather, conf):
     rows = joined.collect()
     assert len({r.ride_id for r in rows}) == len(rows) == 40_000
     assert "SortMergeJoin(skew=true)" in plan_of(joined)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Chicago", "Asia/Tokyo"])
+def test_a_moment_as_key_counts_for_a_stated_zone(spark, conf, make_trips, zone):
+    conf("spark.sql.session.timeZone", zone)
+    at_midnight = spark.sql("select timestamp '2022-09-14 00:00:00 UTC' as datetime, 'rain' as icon, 1.0 as tempmax")
+    trips = add_date_key(make_trips({}))
+    assert join_weather(trips, at_midnight).count() == 1
+    assert join_weather(trips, at_midnight, zone="America/Chicago").count() == 0
+    assert weather_date_text(at_midnight).first().date == "2022-09-14"
+    assert weather_date_text(at_midnight, "America/Chicago").first().date == "2022-09-13"

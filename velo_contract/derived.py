@@ -8,7 +8,6 @@ and input folder into the shared scratch folder, then read like any other table.
 from __future__ import annotations
 
 import io
-import posixpath
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -18,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veloclima.operators import cast_trips
-from veloclima.plans import enrich_trips, ingest_trips
+from veloclima.plans import enrich_trips, ingest_months, ingest_trips
 from veloclima.schema import TRIP_COLUMNS
 from veloclima.session import scratch_folder
 from veloclima.sinks import append_months, write_months, write_parquet, write_table
@@ -100,6 +99,21 @@ def weather_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def far_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pair of points per event: anywhere on the globe, every other one nearly antipodal."""
+    i = F.col("event_id")
+    at = lambda a, n, low: F.lit(low) + ((i * a) % n) / 100.0
+    near = i % 2 == 0
+    lat1, lng1 = at(7919, 17900, -89.5), at(104729, 36000, -180.0)
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        i.cast("string").alias("ride_id"),
+        lat1.alias("start_lat"),
+        lng1.alias("start_lng"),
+        F.when(near, F.lit(0.0) - lat1 + at(31, 100, -0.5)).otherwise(at(6007, 17900, -89.5)).alias("end_lat"),
+        F.when(near, lng1 + F.lit(180.0) + at(37, 200, -1.0)).otherwise(at(15485863, 36000, -180.0)).alias("end_lng"),
+    )
+
+
 # --- staged tables ----------------------------------------------------------------
 
 _staged: dict[tuple[str, str, str], str] = {}
@@ -147,10 +161,25 @@ def _stage_csv(spark: SparkSession, sf_dir: str, place: str) -> None:
 
 
 def _stage_zip(spark: SparkSession, sf_dir: str, place: str) -> None:
-    """One archive per CSV file, each packed and written by its task.
+    """Archives ``yyyymm-part.csv.zip``, each packed and written by its task.
 
-    Member times are fixed, so a repeated task writes the same bytes.
+    Every 50th trip lies in the next month's file, and every 19th has a line break in the
+    name of its last station.  Member times are fixed, so a repeated task writes the same
+    bytes.
     """
+    i = F.col("ride_id").cast("long")
+    broken = F.when(i % 19 == 0, F.concat(F.col("end_station_name"), F.lit("\nside"))).otherwise(F.col("end_station_name"))
+    (
+        stored_trips(spark, sf_dir)
+        .withColumn("end_station_name", broken)
+        .withColumn("stem", F.when(i % 50 == 0, "202402").otherwise("202401"))
+        .write.partitionBy("stem")
+        .option("header", True)
+        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+        .option("maxRecordsPerFile", 500_000)
+        .csv(f"{place}/csv")
+    )
+    place = f"{place}/zip"
     files, folder = pafs.FileSystem.from_uri(place)
     files.create_dir(folder, recursive=True)
 
@@ -158,7 +187,8 @@ def _stage_zip(spark: SparkSession, sf_dir: str, place: str) -> None:
         target, root = pafs.FileSystem.from_uri(place)
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1), strict=True):
-                name = posixpath.basename(path.as_py())
+                folder_name, name = path.as_py().split("/")[-2:]
+                name = f"{folder_name.split('=')[1]}-{name}"
                 packed = io.BytesIO()
                 with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as box:
                     box.writestr(zipfile.ZipInfo(name, (2024, 1, 1, 0, 0, 0)), content.as_py())
@@ -167,7 +197,7 @@ def _stage_zip(spark: SparkSession, sf_dir: str, place: str) -> None:
                     out.write(packed.getvalue())
                 yield pa.RecordBatch.from_arrays([pa.array([name])], ["name"])
 
-    csv_files = spark.read.format("binaryFile").load(f"{staged(spark, sf_dir, 'csv')}/*.csv")
+    csv_files = spark.read.format("binaryFile").load(place.removesuffix("zip") + "csv/stem=*/*.csv")
     csv_files.select("path", "content").mapInArrow(pack, "name string").count()
 
 
@@ -175,6 +205,29 @@ def _stage_raw(spark: SparkSession, sf_dir: str, place: str) -> None:
     write_months(ingest_trips(stored_trips(spark, sf_dir)), place)
 
 
+def _stage_file_months(spark: SparkSession, sf_dir: str, place: str) -> None:
+    """Raw trips from the archives, partitioned by the file's month."""
+    ingest_months(spark, f"{staged(spark, sf_dir, 'zip')}/zip", 2024, [1, 2], place)
+
+
+def _stage_weather_months(spark: SparkSession, sf_dir: str, place: str) -> None:
+    """Weather with a year and a month of its own, which are not the trips'."""
+    rows = weather(spark, sf_dir).withColumns({"year": F.lit(1900), "month": F.lit(7)})
+    write_parquet(rows, place)
+
+
+def _stage_nanos(spark: SparkSession, sf_dir: str, place: str) -> None:
+    """Times as nanoseconds, each with its own millisecond, as Spark reads them from pandas."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+    def nanos(name: str) -> Column:
+        micros = F.timestamp_diff("MICROSECOND", epoch, F.col(name))
+        return (micros + (F.col("ride_id").cast("long") % 1000) * 1000) * 1000
+
+    rows = stored_trips(spark, sf_dir)
+    write_parquet(rows.withColumns({c: nanos(c) for c in ("started_at", "ended_at")}), place)
+
+
 def _stage_long(spark: SparkSession, sf_dir: str, place: str) -> None:
     """Eighty months of trips; rows arrive in no month order, so gather them first."""
     write_months(cast_trips(trips(spark, sf_dir, "orders"), None), place, rebalance=True)
@@ -198,6 +251,9 @@ _STAGES: dict[str, Callable[[SparkSession, str, str], str | None]] = {
     "csv": _stage_csv,
     "zip": _stage_zip,
     "raw": _stage_raw,
+    "file_months": _stage_file_months,
+    "weather_months": _stage_weather_months,
+    "nanos": _stage_nanos,
     "long": _stage_long,
     "processed": _stage_processed,
     "processed_table": _stage_processed_table,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from numpy.polynomial.legendre import leggauss
+
 EVENTS = "SELECT event_id AS i, ts, user_id, value FROM events"
 ORDERS = """SELECT o_orderkey AS i,
        o_orderdate + to_seconds((o_orderkey * 7919) % 86400) AS ts,
@@ -38,11 +40,32 @@ WEATHER = """SELECT strftime(d, '%Y-%m-%d') AS datetime,
 FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events)
 WHERE dayofmonth(d) % 10 <> 0"""
 
-COLUMNS = (
-    "ride_id rideable_type started_at ended_at start_station_name start_station_id "
-    "end_station_name end_station_id start_lat start_lng end_lat end_lng member_casual"
-).split()
-TEXTS = [c for c in COLUMNS if c[-3:] not in ("_at", "lat", "lng")]
+# --- fixed values: the trip columns, in file order, and those that are text ---
+COLUMNS = [
+    "ride_id",
+    "rideable_type",
+    "started_at",
+    "ended_at",
+    "start_station_name",
+    "start_station_id",
+    "end_station_name",
+    "end_station_id",
+    "start_lat",
+    "start_lng",
+    "end_lat",
+    "end_lng",
+    "member_casual",
+]
+TEXTS = [
+    "ride_id",
+    "rideable_type",
+    "start_station_name",
+    "start_station_id",
+    "end_station_name",
+    "end_station_id",
+    "member_casual",
+]
+# ------------------------------------------------------------------------------
 
 COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in COLUMNS)
 
@@ -119,6 +142,7 @@ def measured(source: str) -> list[tuple[str, str]]:
             " round_even((epoch_us(ended_at) - epoch_us(started_at)) / 60e6 * 10, 0) / 10"
             " AS travel_time FROM e2",
         ),
+        # fixed values: the tariff
         (
             "measured",
             "SELECT *, round_even(CASE"
@@ -141,6 +165,78 @@ NAN = "SELECT * REPLACE (" + ", ".join(f"coalesce({c}, 'nan') AS {c}" for c in T
 PLUS = ("distance", "travel_time", "cost", "date", "icon", "tempmax")
 
 
+# The archives: every 50th trip is in the next month's file, every 19th has a line break.
+ARCHIVED = """SELECT * REPLACE (CASE WHEN CAST(ride_id AS BIGINT) % 19 = 0
+                          THEN end_station_name || chr(10) || 'side'
+                          ELSE end_station_name END AS end_station_name)
+FROM all_trips"""
+FILE_MONTH = (
+    "2024 AS year, CAST(CASE WHEN CAST(ride_id AS BIGINT) % 50 = 0 THEN 2 ELSE 1 END AS INTEGER) AS month"
+)
+
+
+def archived() -> list[tuple[str, str]]:
+    return [("seeds", EVENTS), ("all_trips", TRIPS), ("trips", ARCHIVED)]
+
+
+def far() -> str:
+    """Distance by halving the azimuth at the southern point, with integrals as sums.
+
+    Another method than the iteration: 60 rounds of halving, and Gauss sums of 20 terms for
+    both integrals of Bessel's sphere.
+    """
+    f = "(1::DOUBLE / 298.257223563::DOUBLE)"
+    nodes, sums = leggauss(20)
+    weights = "[" + ", ".join(f"{w / 2:.17g}" for w in sums) + "]"
+    places = "[" + ", ".join(f"{(1 + x) / 2:.17g}" for x in nodes) + "]"
+
+    def line(source: str, azimuth: str) -> str:
+        """``source`` with the line that leaves at ``azimuth``: reached and metres."""
+        k1 = f"SELECT *, sin({azimuth}) AS sa, cos({azimuth}) AS ca FROM {source}"
+        k2 = (
+            f"SELECT *, sa * c1 AS s0, sqrt(greatest(ca * ca * c1 * c1 + (s1 - s2) * (s1 + s2), 0)) / c2 AS cb FROM ({k1})"
+        )
+        k3 = f"SELECT *, atan2(s1, ca * c1) AS g1, atan2(s2, cb * c2) AS g2 FROM ({k2})"
+        k4 = (
+            f"SELECT *, (1 / ((1 - {f}) * (1 - {f})) - 1) * (1 - s0 * s0) AS k2,"
+            f" atan2(s0 * sin(g2), cos(g2)) - atan2(s0 * sin(g1), cos(g1)) AS swing FROM ({k3})"
+        )
+        k5 = (
+            f"SELECT *, list_transform({places}::DOUBLE[], lambda k: sqrt(1 + k2 * sin(g1 + (g2 - g1) * k)"
+            f" * sin(g1 + (g2 - g1) * k))) AS roots FROM ({k4})"
+        )
+        return (
+            f"SELECT *, swing - {f} * s0 * (g2 - g1) * list_dot_product("
+            f"list_transform(roots, lambda r: (2 - {f}) / (1 + (1 - {f}) * r)), {weights}::DOUBLE[]) AS reached,"
+            f" 6378137::DOUBLE * (1 - {f}) * (g2 - g1) * list_dot_product(roots, {weights}::DOUBLE[]) AS metres FROM ({k5})"
+        )
+
+    points = f"""SELECT CAST(i AS VARCHAR) AS ride_id, lat1, lng1,
+       CASE WHEN i % 2 = 0 THEN 0::DOUBLE - lat1 + (-0.5::DOUBLE + ((i * 31) % 100) / 100::DOUBLE)
+            ELSE -89.5::DOUBLE + ((i * 6007) % 17900) / 100::DOUBLE END AS lat2,
+       CASE WHEN i % 2 = 0 THEN lng1 + 180::DOUBLE + (-1::DOUBLE + ((i * 37) % 200) / 100::DOUBLE)
+            ELSE -180::DOUBLE + ((i * 15485863) % 36000) / 100::DOUBLE END AS lng2
+FROM (SELECT event_id AS i, -89.5::DOUBLE + ((event_id * 7919) % 17900) / 100::DOUBLE AS lat1,
+             -180::DOUBLE + ((event_id * 104729) % 36000) / 100::DOUBLE AS lng1 FROM events)"""
+    return f"""WITH RECURSIVE points AS ({points}),
+reduced AS (SELECT *, atan((1 - {f}) * tan(radians(lat1))) AS b1, atan((1 - {f}) * tan(radians(lat2))) AS b2,
+                   lng2 - lng1 AS turn FROM points),
+turned AS (SELECT *, abs(radians(turn - 360 * round_even(turn / 360, 0))) AS goal,
+                  CASE WHEN abs(b1) < abs(b2) THEN b2 ELSE b1 END AS p, CASE WHEN abs(b1) < abs(b2) THEN b1 ELSE b2 END AS q
+           FROM reduced),
+placed AS (SELECT ride_id, goal, sin(-abs(p)) AS s1, cos(p) AS c1, sin(CASE WHEN p > 0 THEN -q ELSE q END) AS s2, cos(q) AS c2
+           FROM turned),
+halved AS (
+    SELECT *, 0::DOUBLE AS low, pi() AS high, 0 AS n FROM placed
+    UNION ALL
+    SELECT ride_id, goal, s1, c1, s2, c2,
+           CASE WHEN reached < goal THEN (low + high) / 2 ELSE low END,
+           CASE WHEN reached < goal THEN high ELSE (low + high) / 2 END, n + 1
+    FROM ({line("(SELECT * FROM halved WHERE n < 60)", "(low + high) / 2")})
+)
+SELECT ride_id, round(metres, 2) AS distance FROM ({line("(SELECT * FROM halved WHERE n = 60)", "(low + high) / 2")})"""
+
+
 def processed() -> list[tuple[str, str]]:
     """Ingested (missing texts are 'nan'), cleaned, measured, joined."""
     return [
@@ -153,10 +249,10 @@ def processed() -> list[tuple[str, str]]:
     ]
 
 
-def cleaned_first() -> list[tuple[str, str]]:
+def cleaned_first(source: list[tuple[str, str]] | None = None) -> list[tuple[str, str]]:
     """Cleaned with real NULLs, then measured and joined."""
     return [
-        *base(),
+        *(source or base()),
         ("weather", WEATHER),
         ("clean", f"SELECT * FROM trips WHERE {COMPLETE}"),
         *measured("clean"),
@@ -198,7 +294,12 @@ def oracle() -> dict[str, str]:
     finished = f"SELECT {listed(*PLUS)} FROM processed"
     return {
         "src_csv_month": with_(trips, rows),
-        "src_zip_csv": with_(trips, rows),
+        "src_zip_csv": with_(archived(), f"SELECT {listed(FILE_MONTH)} FROM trips"),
+        "src_parquet_nanos": with_(
+            trips,
+            "SELECT ride_id, epoch_us(started_at) + CAST(ride_id AS BIGINT) % 1000 * 1000 AS started_at,"
+            " epoch_us(ended_at) + CAST(ride_id AS BIGINT) % 1000 * 1000 AS ended_at FROM trips",
+        ),
         "src_parquet": with_(nan, ingested),
         "src_parquet_glob": with_(
             long,
@@ -227,7 +328,11 @@ def oracle() -> dict[str, str]:
             [*nan, *weather], JOINED.format(listed("date", "icon", "tempmax"), "ingested")
         ),
         "table_copy": with_(done, finished),
-        "sink_idempotent_month": with_(long, month_counts("trips")),
+        "sink_idempotent_month": with_(
+            done,
+            f"SELECT year, month, count(*) AS n FROM (SELECT {FILE_MONTH} FROM processed)"
+            " GROUP BY GROUPING SETS ((year, month), ())",
+        ),
         "parse_timestamps": with_(trips, "SELECT ride_id, started_at, ended_at FROM trips"),
         "cast_trips": with_(nan, ingested),
         "drop_na_any": with_(trips, f"{rows} WHERE {COMPLETE}"),
@@ -292,9 +397,20 @@ def oracle() -> dict[str, str]:
         ),
         "sql_view": with_(done, DAILY),
         "multi_month_union": with_(long, f"SELECT {listed(YEAR_MONTH)} FROM trips"),
-        "pipe_ingest": with_(nan, f"SELECT {listed(YEAR_MONTH)} FROM ingested"),
+        "pipe_ingest": with_(
+            [*archived(), ("ingested", NAN)],
+            f"SELECT {listed(FILE_MONTH)}, '2024-3' AS gap FROM ingested",
+        ),
         "pipe_enrich": with_(done, finished),
-        "pipe_combined": with_(cleaned_first(), finished),
+        "pipe_combined": with_(
+            cleaned_first(archived()), f"SELECT {listed(*PLUS, FILE_MONTH)} FROM processed"
+        ),
+        "report_days": with_(
+            done,
+            f"SELECT *, 'highest' AS list FROM ({HIGHEST}) UNION ALL"
+            f" SELECT *, 'lowest' AS list FROM ({LOWEST})",
+        ),
+        "add_distance_far": far(),
         "pipe_spark_join": with_(
             [*nan, *weather], JOINED.format(listed("date", "icon", "tempmax"), "ingested")
         ),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -49,6 +50,10 @@ def _csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_trips_csv(spark, derived.staged(spark, sf_dir, "csv"))
 
 
+def _archives(spark: SparkSession, sf_dir: str) -> str:
+    return derived.staged(spark, sf_dir, "zip") + "/zip"
+
+
 # --- sources ------------------------------------------------------------------------
 
 
@@ -59,8 +64,8 @@ def src_csv_month(spark, sf_dir):
 
 @query
 def src_zip_csv(spark, sf_dir):
-    rows = sources.read_trips_zip(spark, derived.staged(spark, sf_dir, "zip"))
-    return shown(plans.ingest_trips(rows, null_text=None))
+    rows = sources.read_trips_zip(spark, f"{_archives(spark, sf_dir)}/*.zip")
+    return shown(plans.ingest_trips(sources.file_month(rows), None, keep=("year", "month")))
 
 
 @query
@@ -68,6 +73,14 @@ def src_parquet(spark, sf_dir):
     return shown(_raw(spark, sf_dir))
 
 
+@query
+def src_parquet_nanos(spark, sf_dir):
+    rows = sources.timestamps_from_nanos(spark.read.parquet(derived.staged(spark, sf_dir, "nanos")))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    micros = [F.timestamp_diff("MICROSECOND", epoch, F.col(c)).alias(c) for c in ("started_at", "ended_at")]
+    return rows.select("ride_id", *micros)
+
+
 @query
 def src_parquet_glob(spark, sf_dir):
     pattern = f"{derived.staged(spark, sf_dir, 'long')}/year=*/month=*"
@@ -156,10 +169,12 @@ def table_copy(spark, sf_dir):
 
 @query
 def sink_idempotent_month(spark, sf_dir):
+    """File months with strays, and weather with a year and month of its own, run again."""
     path = scratch_folder(spark, "replaced")
-    everything = _long(spark, sf_dir)
-    sinks.replace_months(everything, path, rebalance=True)
-    sinks.replace_months(op.month_select(everything, 1998, [3, 4]), path)
+    raw = derived.staged(spark, sf_dir, "file_months")
+    weather = derived.staged(spark, sf_dir, "weather_months")
+    for months in ([1, 2, 3], [2]):
+        plans.enrich_months(spark, raw, weather, path, 2024, months, replace=True)
     return op.count_by_month(sources.read_trips_parquet(spark, path))
 
 
@@ -287,6 +302,12 @@ def add_distance(spark, sf_dir):
     return op.add_distance(derived.stored_trips(spark, sf_dir)).select("ride_id", "distance")
 
 
+@query
+def add_distance_far(spark, sf_dir):
+    """Lines across the globe, half of them between nearly antipodal points."""
+    return op.add_distance(derived.far_points(spark, sf_dir)).select("ride_id", "distance")
+
+
 @query
 def add_travel_time(spark, sf_dir):
     return op.add_travel_time(derived.stored_trips(spark, sf_dir)).select("ride_id", "travel_time")
@@ -315,48 +336,55 @@ def cast_to_text(spark, sf_dir):
 
 @query
 def sql_view(spark, sf_dir):
-    view = op.register_view(derived.processed(spark, sf_dir), "trips")
+    view = op.register_view(derived.processed(spark, sf_dir), f"trips_{uuid.uuid4().hex}")
     return rounded(op.daily_report_sql(spark, view), "distance")
 
 
 @query
 def multi_month_union(spark, sf_dir):
+    """The months that are there, one table each, whatever years they are of."""
     everything = _long(spark, sf_dir)
-    years = [op.month_select(everything, y, range(1, 13)) for y in range(1995, 2002)]
-    return shown(op.multi_month_union(*years))
+    halves = [everything.filter(F.col("month") % 2 == k) for k in (0, 1)]
+    return shown(op.multi_month_union(*halves))
 
 
 @query
 def pipe_ingest(spark, sf_dir):
+    """Archives to the raw table; March has no file and comes back as a gap."""
     path = scratch_folder(spark, "ingested")
-    sinks.write_months(plans.ingest_trips(_csv(spark, sf_dir)), path)
-    return shown(sources.read_trips_parquet(spark, path))
+    gaps = plans.ingest_months(spark, _archives(spark, sf_dir), 2024, [1, 2, 3], path)
+    missing = gaps.select(F.concat_ws("-", "year", "month").alias("gap"))
+    return shown(sources.read_trips_parquet(spark, path)).crossJoin(missing)
 
 
 @query
 def pipe_enrich(spark, sf_dir):
     path = scratch_folder(spark, "enriched")
-    sinks.append_months(
-        plans.enrich_trips(_raw(spark, sf_dir), derived.weather(spark, sf_dir)), path
-    )
+    raw, weather = (derived.staged(spark, sf_dir, name) for name in ("raw", "weather"))
+    plans.enrich_months(spark, raw, weather, path, 2024, range(1, 13))
     return shown(spark.read.parquet(path).drop("year", "month"))
 
 
 @query
 def pipe_combined(spark, sf_dir):
     path = scratch_folder(spark, "combined")
-    done = plans.ingest_and_enrich(_csv(spark, sf_dir), derived.weather(spark, sf_dir))
-    sinks.write_months(done, path)
-    return shown(spark.read.parquet(path).drop("year", "month"))
+    weather = derived.staged(spark, sf_dir, "weather")
+    plans.ingest_and_enrich_months(spark, _archives(spark, sf_dir), weather, path, 2024, [1, 2])
+    return shown(spark.read.parquet(path))
 
 
 @query
 def pipe_spark_join(spark, sf_dir):
     path = scratch_folder(spark, "day-join")
-    target = "day_join_" + path.rsplit("-", 1)[1]
-    joined = plans.join_only(_raw(spark, sf_dir), derived.weather(spark, sf_dir))
-    sinks.write_table(joined, target, mode="overwrite", path=path)
-    return shown(spark.table(target))
+    raw, weather = (derived.staged(spark, sf_dir, name) for name in ("raw", "weather"))
+    plans.join_months(spark, raw, weather, path)
+    return shown(spark.read.parquet(path))
+
+
+@query
+def report_days(spark, sf_dir):
+    """From the stored enriched table to the best and worst days."""
+    return rounded(plans.report_days(spark, derived.staged(spark, sf_dir, "processed")), "distance")
 
 
 @query

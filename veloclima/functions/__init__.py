@@ -1,4 +1,4 @@
-from .days import calendar_day, day_text, minutes_between, month_runs
+from .days import calendar_day, day_text, minutes_between, month_runs, utc_day
 from .fares import DEFAULT_TARIFF, fare
 from .geodesic import ellipsoid_metres, geodesic_metres
 from .rounding import round_half_even
@@ -13,4 +13,5 @@ __all__ = [
     "minutes_between",
     "month_runs",
     "round_half_even",
+    "utc_day",
 ]

@@ -13,6 +13,12 @@ def calendar_day(value: Column | str) -> Column:
     return F.to_date(F.col(value) if isinstance(value, str) else value)
 
 
+def utc_day(value: Column, zone: str = "UTC") -> Column:
+    """Day of a TIMESTAMP (a moment) in ``zone``, whatever the session's zone is."""
+    seconds = F.unix_seconds(F.from_utc_timestamp(value, zone))
+    return F.date_from_unix_date(F.floor(seconds / F.lit(86400)).cast("int"))
+
+
 def day_text(value: Column | str) -> Column:
     """The day written ``yyyy-MM-dd``.  A DATE prints so without any time zone."""
     return calendar_day(value).cast("string")

@@ -46,8 +46,15 @@ def cast_trips(
     :func:`drop_na_any` keeps the row; ``None`` keeps real NULLs.
     """
 
+    known = dict(df.dtypes)
+
     def forced(field: T.StructField) -> Column:
         value = F.col(field.name).cast(field.dataType)
+        if known[field.name] == "string" and isinstance(field.dataType, T.NumericType):
+            value = F.col(field.name).try_cast(field.dataType)  # an error under any ANSI setting
+            complaint = F.concat(F.lit(f"{field.name} is not a number: "), F.col(field.name))
+            bad = F.when(F.col(field.name).isNotNull(), F.raise_error(complaint))
+            value = F.coalesce(value, bad.cast(field.dataType))
         if null_text is not None and isinstance(field.dataType, T.StringType):
             value = F.coalesce(value, F.lit(null_text))
         return value.alias(field.name)

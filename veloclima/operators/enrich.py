@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import (
@@ -34,12 +34,15 @@ def add_cost(
     df: DataFrame,
     tariff: Sequence[Fare] | DataFrame = DEFAULT_TARIFF,
     basis: str = "distance",
+    salt: int = 16,
+    salt_on: str = "ride_id",
 ) -> DataFrame:
     """``cost``: base + rate x ``basis``, 3 dp; 0 when the tariff has no such row.
 
     ``basis`` is ``distance`` (metres) or ``travel_time`` (minutes).  A short
-    tariff compiles into the projection; a tariff table is joined, and Spark
-    broadcasts it if its measured size is below the broadcast threshold.
+    tariff compiles into the projection.  A tariff table is measured first: below the
+    broadcast threshold it goes to the trips, beyond it the join is salted ``salt`` times, so
+    that a common pair of type and membership is not one task.
     """
     if basis not in ("distance", "travel_time"):
         raise ValueError(f"basis must be 'distance' or 'travel_time', not {basis!r}")
@@ -55,10 +58,28 @@ def add_cost(
     price = F.when(F.col("_base").isNull(), F.lit(0.0)).otherwise(
         F.col("_base") + F.col("_rate") * F.col(basis)
     )
-    joined = df.join(fares, key, "left").select(*[df[c] for c in df.columns], "_base", "_rate")
+    texts = F.octet_length("rideable_type") + F.octet_length("member_casual")
+    size = tariff.agg(F.sum(F.coalesce(texts, F.lit(0)) + 64)).first()[0] or 0
+    if size <= _broadcast_bytes(df.sparkSession):
+        joined = df.join(F.broadcast(fares), key, "left")
+    else:
+        bucket = F.pmod(F.xxhash64(salt_on), F.lit(salt)).cast("int")
+        copies = F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))
+        joined = df.withColumn("_salt", bucket).join(
+            fares.withColumn("_salt", copies), [*key, "_salt"], "left"
+        )
+    joined = joined.select(*df.columns, "_base", "_rate")
     return joined.withColumn("cost", round_half_even(price, 3)).drop("_base", "_rate")
 
 
+def _broadcast_bytes(spark: SparkSession) -> int:
+    """The session's broadcast threshold; -1 where broadcasts are off."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if text.startswith("-"):
+        return -1
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+
+
 def add_date_key(df: DataFrame, stamp: str = "started_at", as_text: bool = False) -> DataFrame:
     """``date``: the calendar day of ``stamp``; text on request, for output."""
     day = calendar_day(stamp)

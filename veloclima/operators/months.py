@@ -59,8 +59,20 @@ def months_present(df: DataFrame, stamp: str = "started_at") -> DataFrame:
 
 
 def month_coverage(df: DataFrame, expected: DataFrame, stamp: str = "started_at") -> DataFrame:
-    """The expected (year, month) rows that have no trip."""
-    return expected.join(months_present(df, stamp), ["year", "month"], "left_anti")
+    """The expected (year, month) rows that have no trip.
+
+    Only the years that ``expected`` spans are looked at: on a month-partitioned table the
+    others are never listed or opened.
+    """
+    span = expected.agg(F.min("year").alias("first"), F.max("year").alias("last")).first()
+    if span["first"] is None:
+        return expected
+    if {"year", "month"} <= set(df.columns):
+        near = df.filter(F.col("year").between(span["first"], span["last"]))
+    else:
+        low, high = (F.lit(f"{y:04d}-01-01 00:00:00").cast("timestamp_ntz") for y in (span["first"], span["last"] + 1))
+        near = df.filter((F.col(stamp) >= low) & (F.col(stamp) < high))
+    return expected.join(months_present(near, stamp), ["year", "month"], "left_anti")
 
 
 def count_by_month(df: DataFrame, stamp: str = "started_at") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar_day, day_text
 from .enrich import add_date_key
-from .weather import rename_weather_key
+from .weather import key_day, rename_weather_key
 
 
 def count_table(df: DataFrame) -> DataFrame:
@@ -26,7 +26,9 @@ def weather_daily_avg(enriched: DataFrame) -> DataFrame:
     )
 
 
-def weather_daily_avg_from_trips(trips: DataFrame, weather: DataFrame) -> DataFrame:
+def weather_daily_avg_from_trips(
+    trips: DataFrame, weather: DataFrame, zone: str = "UTC"
+) -> DataFrame:
     """The same report without an enriched table in between.
 
     Trips shrink to one sum and count per day before they meet the weather, so
@@ -39,9 +41,8 @@ def weather_daily_avg_from_trips(trips: DataFrame, weather: DataFrame) -> DataFr
         .groupBy("date")
         .agg(F.sum("distance").alias("_sum"), F.count("distance").alias("_n"))
     )
-    days = rename_weather_key(weather).select(
-        calendar_day("date").alias("date"), "icon", "tempmax"
-    )
+    renamed = rename_weather_key(weather)
+    days = renamed.select(key_day(renamed, "date", zone).alias("date"), "icon", "tempmax")
     total = F.try_divide(F.sum("_sum"), F.sum("_n"))
     return (
         per_day.join(days, "date")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import calendar_day
+from ..functions import calendar_day, utc_day
 
 
 def rename_weather_key(weather: DataFrame) -> DataFrame:
@@ -13,9 +13,17 @@ def rename_weather_key(weather: DataFrame) -> DataFrame:
     return weather.withColumnRenamed("datetime", "date")
 
 
-def weather_date_text(weather: DataFrame) -> DataFrame:
+def key_day(df: DataFrame, key: str = "date", zone: str = "UTC") -> Column:
+    """The key as DATE.  A TIMESTAMP is a moment: its day is that of ``zone``, not the session's."""
+    if dict(df.dtypes)[key] == "timestamp":
+        return utc_day(F.col(key), zone)
+    return calendar_day(key)
+
+
+def weather_date_text(weather: DataFrame, zone: str = "UTC") -> DataFrame:
     """The weather day as ``yyyy-MM-dd`` text, also when it came as a timestamp."""
-    return rename_weather_key(weather).withColumn("date", calendar_day("date").cast("string"))
+    renamed = rename_weather_key(weather)
+    return renamed.withColumn("date", key_day(renamed, "date", zone).cast("string"))
 
 
 def column_overlap(trips: DataFrame, weather: DataFrame, key: str = "date") -> list[str]:
@@ -30,11 +38,13 @@ def join_weather(
     collision: str = "suffix",
     salt: int = 1,
     salt_on: str = "ride_id",
+    zone: str = "UTC",
 ) -> DataFrame:
     """Inner join of trips to the weather of their day.
 
     Trips need ``date`` (see :func:`add_date_key`); both sides are brought to
-    DATE, so text, date and timestamp keys meet.  Trips of a day without weather
+    DATE, so text, date and timestamp keys meet.  A key of type TIMESTAMP is a moment,
+    and ``zone`` says whose day it counts for.  Trips of a day without weather
     drop out, and a day with two weather rows doubles its trips.
 
     No broadcast hint is given: Spark compares the weather file's size with
@@ -61,8 +71,8 @@ def join_weather(
     )
     order = trips.columns + [c for c in weather.columns if c != "date"]
 
-    left = trips.withColumn("date", calendar_day("date"))
-    right = weather.withColumn("date", calendar_day("date"))
+    left = trips.withColumn("date", key_day(trips, "date", zone))
+    right = weather.withColumn("date", key_day(weather, "date", zone))
     key = ["date"]
     if salt > 1:
         bucket = F.pmod(F.xxhash64(salt_on), F.lit(salt)).cast("int")

@@ -26,7 +26,7 @@ from ..operators import (
     drop_na_any,
     join_weather,
     parse_timestamps,
-    weather_daily_avg,
+    weather_daily_avg_from_trips,
 )
 from ..schema import TRIP_COLUMNS, TRIPS, TRIPS_ENRICHED
 
@@ -52,10 +52,11 @@ def enrich_trips(
     tariff: Sequence[Fare] | DataFrame = DEFAULT_TARIFF,
     cost_basis: str = "distance",
     collision: str = "suffix",
+    salt: int = 1,
 ) -> DataFrame:
     """Ingested trips to complete trips with distance, time, cost and weather."""
     measured = _measured(drop_na_any(trips), tariff, cost_basis)
-    joined = join_weather(add_date_key(measured), weather, collision=collision)
+    joined = join_weather(add_date_key(measured), weather, collision=collision, salt=salt)
     return date_as_text(joined)
 
 
@@ -66,20 +67,35 @@ def ingest_and_enrich(
     cost_basis: str = "distance",
     null_text: str | None = "nan",
     collision: str = "suffix",
+    salt: int = 1,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Both steps over text trips in one pass, incomplete rows dropped first."""
-    measured = _measured(drop_na_any(raw, list(TRIP_COLUMNS)), tariff, cost_basis)
-    typed = cast_trips(measured, null_text, TRIPS_ENRICHED)
-    return date_as_text(join_weather(add_date_key(typed), weather, collision=collision))
+    """Both steps over text trips in one pass, incomplete rows dropped first.
+
+    Times and numbers are typed before that, so that a coordinate written ``NaN`` counts as
+    missing; ``keep`` names further columns to carry along.
+    """
+    typed = ingest_trips(raw, None, keep)
+    measured = _measured(drop_na_any(typed, list(TRIP_COLUMNS)), tariff, cost_basis)
+    layout = T.StructType([*TRIPS_ENRICHED.fields, *[raw.schema[c] for c in keep]])
+    done = cast_trips(measured, null_text, layout)
+    joined = join_weather(add_date_key(done), weather, collision=collision, salt=salt)
+    return date_as_text(joined)
 
 
-def join_only(trips: DataFrame, weather: DataFrame, collision: str = "suffix") -> DataFrame:
+def join_only(
+    trips: DataFrame, weather: DataFrame, collision: str = "suffix", salt: int = 1
+) -> DataFrame:
     """Trips with the day's weather: nothing dropped for NULLs, nothing measured."""
-    return date_as_text(join_weather(add_date_key(trips), weather, collision=collision))
+    joined = join_weather(add_date_key(trips), weather, collision=collision, salt=salt)
+    return date_as_text(joined)
 
 
 def daily_extremes(trips: DataFrame, weather: DataFrame, n: int = 10) -> DataFrame:
-    """Raw trips to the n best and n worst days, keeping only the columns it needs."""
-    measured = add_date_key(add_distance(drop_na_any(trips)))
-    slim = measured.select("date", "distance")
-    return both_ends(weather_daily_avg(join_weather(slim, weather)), n)
+    """Raw trips to the n best and n worst days.
+
+    Trips shrink to one row per day before they meet the weather: no single trip is
+    shuffled, and a busy day is one row per task.
+    """
+    measured = add_distance(drop_na_any(trips))
+    return both_ends(weather_daily_avg_from_trips(measured, weather), n)

@@ -13,7 +13,9 @@ or the table turns into millions of small files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.months import with_month
@@ -63,10 +65,36 @@ def replace_months(
     stamp: str = "started_at",
     rows_per_file: int = 0,
     rebalance: bool = False,
+    months: Iterable[tuple[int, int]] | None = None,
 ) -> None:
-    """Replace exactly the months present in ``df``; a re-run changes nothing."""
-    writer = _by_month(df, stamp, "overwrite", rows_per_file, rebalance)
+    """Replace months; a re-run changes nothing.
+
+    With ``months``, exactly these (year, month) are replaced: one without rows ends up
+    empty, and a row of any other month is an error before anything is replaced.  Without,
+    the months present in ``df`` are.
+    """
+    if months is None:
+        writer = _by_month(df, stamp, "overwrite", rows_per_file, rebalance)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+        return
+    asked = sorted({(int(y), int(m)) for y, m in months})
+    df = with_month(df, stamp)
+    own = [(F.col("year") == y) & (F.col("month") == m) for y, m in asked]
+    known = F.lit(False)
+    for test in own:
+        known = known | test
+    complaint = F.concat_ws("-", F.lit("a row outside the months to replace:"), "year", "month")
+    df = df.withColumn("year", F.when(known, F.col("year")).otherwise(F.raise_error(complaint)))
+    seen = Observation()
+    counts = [F.count_if(test).alias(f"m{k}") for k, test in enumerate(own)]
+    watched = df.observe(seen, F.count(F.lit(1)).alias("n"), *counts)
+    writer = _by_month(watched, stamp, "overwrite", rows_per_file, rebalance)
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    spark = df.sparkSession
+    for k, (year, month) in enumerate(asked):
+        if not seen.get[f"m{k}"]:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/year={year}/month={month}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_parquet(

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import io
 import zipfile
 from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
+from urllib.parse import urlsplit
 
 import pyarrow as pa
 import pyarrow.csv as pacsv
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,53 +89,116 @@ def _without_words(df: DataFrame, words: Iterable[str]) -> DataFrame:
 _BLOCK_BYTES = 8 << 20
 
 
-def _first_member_rows(archive: pa.Buffer) -> Iterator[pa.RecordBatch]:
+def _first_member_rows(archive, name: str) -> Iterator[pa.RecordBatch]:
     """Trip rows of an archive's first member, a block at a time; later members are ignored.
 
-    The archive is read in place: neither it nor its content is copied whole.
+    The archive is read in place: neither it nor its content is copied whole.  Quoted line
+    breaks are read at any size.  As with CSV, the header must be the layout's.
     """
-    with zipfile.ZipFile(pa.BufferReader(archive)) as box:
+    with zipfile.ZipFile(archive) as box:
         members = box.infolist()
         if not members:
             return
         with box.open(members[0]) as member:
-            yield from pacsv.open_csv(
+            reader = pacsv.open_csv(
                 member,
                 read_options=pacsv.ReadOptions(block_size=_BLOCK_BYTES, use_threads=False),
+                parse_options=pacsv.ParseOptions(newlines_in_values=True),
                 convert_options=pacsv.ConvertOptions(
-                    include_columns=list(TRIP_COLUMNS),
                     column_types=dict.fromkeys(TRIP_COLUMNS, pa.string()),
                     null_values=[""],
                     strings_can_be_null=True,
                 ),
             )
+            header = reader.schema.names
+            if [c.lower() for c in header] != list(TRIP_COLUMNS):
+                raise ValueError(f"{name}: the header is not that of trips: {header}")
+            yield from reader
+
+
+#: Stores that pyarrow opens itself.  Archives elsewhere come through Spark's own reader,
+#: which holds an archive whole and reads up to 2 GB.
+_ARROW_STORES = {"": "file", "file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "gs": "gs"}
+
+
+class _Raw(io.RawIOBase):
+    """A pyarrow file with the errors that ``zipfile`` expects when it looks before the start."""
+
+    def __init__(self, file: pa.NativeFile):
+        self._file = file
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self._file.tell()
+
+    def seek(self, offset: int, whence: int = 0) -> int:
+        start = (0, self._file.tell(), self._file.size())[whence]
+        if start + offset < 0:
+            raise OSError("before the start of the file")
+        return self._file.seek(start + offset)
+
+    def readinto(self, into) -> int:
+        return self._file.readinto(into)
+
+
+@contextmanager
+def _opened(path: str):
+    scheme = urlsplit(path).scheme
+    if not scheme:
+        path = f"file://{path}"
+    elif scheme == "file":
+        path = "file:///" + path.removeprefix("file:").lstrip("/")
+    else:
+        path = _ARROW_STORES[scheme] + path[len(scheme) :]
+    files, inside = pafs.FileSystem.from_uri(path)
+    with files.open_input_file(inside) as archive:
+        yield io.BufferedReader(_Raw(archive), 1 << 20)
 
 
 def _unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["source", *TRIP_COLUMNS]
     for batch in batches:
-        for path, content in zip(batch.column(0), batch.column(1), strict=True):
-            for rows in _first_member_rows(content.as_buffer()):
-                source = pa.array([path.as_py()] * rows.num_rows, pa.string())
-                yield pa.RecordBatch.from_arrays([source, *rows.columns], names)
+        for k in range(batch.num_rows):
+            path = batch.column(0)[k].as_py()
+            if batch.num_columns > 1:
+                blocks = _first_member_rows(pa.BufferReader(batch.column(1)[k].as_buffer()), path)
+                yield from (_named(rows, path, names) for rows in blocks)
+                continue
+            with _opened(path) as archive:
+                yield from (_named(rows, path, names) for rows in _first_member_rows(archive, path))
+
+
+def _named(rows: pa.RecordBatch, path: str, names: list[str]) -> pa.RecordBatch:
+    source = pa.array([path] * rows.num_rows, pa.string())
+    return pa.RecordBatch.from_arrays([source, *rows.columns], names)
 
 
 def trips_from_archives(archives: DataFrame, null_words: Iterable[str] = ()) -> DataFrame:
-    """Unpack (path, content) rows to text trips plus ``source``, the archive's path.
+    """Unpack (path) or (path, content) rows to text trips plus ``source``, the archive's path.
 
     Deflate cannot be split, so one archive is one task's work; archives run in
-    parallel and their rows leave the task in blocks.
+    parallel and their rows leave the task in blocks.  With ``path`` alone the task opens
+    the archive where it lies and holds one block of it.
     """
     schema = T.StructType([T.StructField("source", T.StringType()), *TRIPS_TEXT.fields])
-    rows = archives.select("path", "content").mapInArrow(_unzip, schema)
-    return _without_words(rows, null_words)
+    columns = [c for c in ("path", "content") if c in archives.columns]
+    return _without_words(archives.select(*columns).mapInArrow(_unzip, schema), null_words)
 
 
 def read_trips_zip(
     spark: SparkSession, paths: str | Sequence[str], null_words: Iterable[str] = ()
 ) -> DataFrame:
     """Monthly ZIP archives, first member only."""
-    found = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
+    given = [paths] if isinstance(paths, str) else list(paths)
+    found = spark.read.format("binaryFile").load(given)
+    if all(urlsplit(p).scheme in _ARROW_STORES for p in given):
+        # one archive per task: the paths are few bytes, what they name is not
+        found = found.select("path").repartition(max(1, len(found.inputFiles())), "path")
     return trips_from_archives(found, null_words)
 
 
@@ -170,7 +237,8 @@ def timestamps_from_nanos(
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
     def moment(name: str):
-        micros = F.floor(F.col(name) / F.lit(1000)).cast("bigint")
+        nanos = F.col(name)
+        micros = F.call_function("div", nanos - F.pmod(nanos, F.lit(1000)), F.lit(1000))
         return F.timestamp_add("MICROSECOND", micros, epoch)
 
     return df.withColumns({c: moment(c) for c in columns})
