@@ -17,7 +17,9 @@ longest match of every suffix (its matching statistics).  Matches of a window or
 marked, exactly, byte by byte.
 
 Anchors with more than ``KINDS`` contexts do not go into a bucket.  Their windows become
-rows with a 64-bit hash each, counted by Spark like any other key.
+rows with a 64-bit hash each, counted by Spark like any other key, and so do short runs of
+``RUN`` windows at equal distances from the anchor.  A run that occurs twice is a repeat as
+a whole; only windows seen in different runs come back one by one.
 
 Defined results: a null or empty text has no bytes; matches never cross documents; texts
 shorter than a window lose nothing; rows that repeat doc_id and text count as two documents,
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._repeats import ROWS, RangeHash, classify, context_rows, covered, per_key, repeated_starts
+from ._repeats import ROWS, RangeHash, classify, context_rows, covered, per_key
 from ._tables import Written, groups_of, mixed, row_key, texts_of
 
 WINDOW = 200
@@ -41,10 +43,11 @@ SEED = 16  # bytes whose hash can be an anchor
 PIECE = 1 << 20  # bytes worked on at once; a longer text is taken in overlapping pieces
 BUCKET_BYTES = 400_000
 KINDS = 500
+RUN = 6
 
 _PLACE_BITS = 24
 _RESULT = "n_bytes long, n_removed long, n_spans long, kept binary"
-_LEFT = "anchor long, hash long, key long, at int, known boolean, body binary"
+_LEFT = "anchor long, hash long, run long, key long, at int, n int, known boolean, body binary"
 
 
 def byte_names() -> np.ndarray:
@@ -111,7 +114,8 @@ def _anchor_rows(window: int):
 
 
 def _left_rows(window: int, kinds: int):
-    """Contexts as bytes, or, for anchors with many of them, one row per window."""
+    """Contexts as bytes (n = 0), or, for anchors with many of them, a row per window (n = 1)
+    and one per run of n windows (its own hash in ``run``, the windows have it too)."""
 
     def rows(batches):
         codes = byte_names()
@@ -122,13 +126,21 @@ def _left_rows(window: int, kinds: int):
                 for x in wanted:
                     if x["kinds"] <= kinds:
                         body = text[x["first"] : x["last"] + window]
-                        out.append((x["anchor"], 0, key, x["first"], x["known"], body))
+                        out.append((x["anchor"], None, None, key, x["first"], 0, x["known"], body))
                         continue
                     if ranges is None:
                         ranges = RangeHash(codes[np.frombuffer(text, np.uint8)])
                     at = np.arange(x["first"], x["last"] + 1)
-                    hashes = ranges(at, at + window).view(np.int64)
-                    out += [(x["anchor"], h, key, a, x["known"], None) for h, a in zip(hashes.tolist(), at.tolist())]
+                    hashes = ranges(at, at + window).view(np.int64).tolist()
+                    ahead = anchors(np.frombuffer(text[at[0] : at[0] + window], np.uint8), window)[0][0] - (at - at[0])
+                    head = np.flatnonzero(np.append(True, ahead[1:] // RUN != ahead[:-1] // RUN))
+                    length = np.diff(np.append(head, len(at)))
+                    first = at[head]
+                    runs = mixed(ranges(first, first + length - 1 + window), length.astype(np.uint64)).view(np.int64)
+                    of = np.repeat(runs, length).tolist()
+                    own = x["anchor"], x["known"]
+                    out += [(own[0], h, r, key, a, 1, own[1], None) for h, r, a in zip(hashes, of, at.tolist())]
+                    out += [(own[0], None, r, key, a, n, own[1], None) for r, a, n in zip(runs.tolist(), first.tolist(), length.tolist())]
                 if len(out) > 20_000:
                     yield pa.RecordBatch.from_arrays(_columns(out), _NAMES)
                     out = []
@@ -138,8 +150,8 @@ def _left_rows(window: int, kinds: int):
     return rows
 
 
-_NAMES = ["anchor", "hash", "key", "at", "known", "body"]
-_KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary())
+_NAMES = ["anchor", "hash", "run", "key", "at", "n", "known", "body"]
+_KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
 
 
 def _columns(rows):
@@ -274,6 +286,21 @@ def _cut(window: int):
     return cut
 
 
+def _many_kinds(rows: DataFrame, tables: Written) -> DataFrame:
+    """(key, first, last) of repeats among the windows and runs of anchors with many contexts.
+
+    A window that is always in one and the same run needs no look of its own.
+    """
+    windows, runs = rows.where("hash is not null"), rows.where("hash is null")
+    twice = runs.groupBy("anchor", "run").agg(F.count("*").alias("seen")).where("seen > 1").select("anchor", "run")
+    found = runs.where("not known").join(tables(twice, "twice"), ["anchor", "run"], "left_semi")
+    apart = windows.groupBy("anchor", "hash").agg(F.min("run").alias("low"), F.max("run").alias("high"))
+    apart = tables(apart.where("low <> high").select("anchor", "hash"), "apart")
+    single = windows.where("not known").join(apart, ["anchor", "hash"], "left_semi")
+    end = (F.col("at") + F.col("n") - 1).alias("last")
+    return found.unionByName(single).select("key", F.col("at").alias("first"), end)
+
+
 def removed_spans(
     documents: DataFrame, tables: Written, text: str, doc_id: str, window: int, kinds: int, bucket_bytes: int
 ) -> DataFrame:
@@ -289,10 +316,9 @@ def removed_spans(
     bodies = found.where("body is not null").select("key", "at", "known", "body", F.pmod(F.xxhash64("anchor"), F.lit(buckets)).alias("bucket"))
     marked = bodies.groupBy("bucket").applyInArrow(_mark(window), "key long, first int, last int")
     marked = tables(marked, "marked")
-    windows = found.where("body is null").select("anchor", "hash", "key", "at", "known")
-    spans = spans.unionAll(marked).unionAll(repeated_starts(windows, tables))
+    spans = spans.unionAll(marked).unionAll(_many_kinds(found.where("body is null"), tables))
     out = tables(per_key(spans), "spans")
-    tables.drop("shared", "contexts", "kinds", "counted", "open", "wanted", "left", "marked", "twice")
+    tables.drop("shared", "contexts", "kinds", "counted", "open", "wanted", "left", "marked", "twice", "apart")
     return out
 
 
