@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, html_text, line_dedup, mixing, pii, quality_model, quality_rules, simhash, substring_dedup, suffix_dedup
+from .oracle import ORACLES as ORACLES
 
 QUERIES = {}
 
@@ -91,5 +92,3 @@ def op10_line_dedup(spark, sf_dir):
     rows = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
-
-ORACLES: dict[str, str] = {}
