@@ -24,6 +24,7 @@ class Written:
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.label, self.paths = spark, label, {}
+        bounded_batches(spark)
 
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_folder(self.spark, f"{self.label}-{name}")
@@ -46,6 +47,28 @@ class Written:
             path.getFileSystem(conf).delete(path, True)
 
 
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lets Arrow batches of this session hold ``BATCH_BYTES``, or less if it says so.
+
+    A number of rows, the usual bound, is no bound on memory for whole texts.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+    if now > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name that the table does not have in any case."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def row_key(*columns: str) -> Column:
     """64 bits for a row's content.
 

@@ -150,7 +150,7 @@ def scan(
     for shard in range(shards):
         own = pairs.where(F.pmod(F.xxhash64("window", "item"), F.lit(shards)) == shard)
         held = spark.sparkContext.broadcast([(r.item, r.window) for r in own.collect()])
-        found = found.withColumn("found", F.arrow_udf(_scan(held), _FOUND)(F.col(text).cast("string"), F.col("found")))
+        found = found.withColumn("found", F.arrow_udf(_scan(held), _FOUND)(F.col(f"`{text}`").cast("string"), F.col("found")))
         if shard + 1 < shards:
             found = tables(found, f"shard{shard}")
             if shard:

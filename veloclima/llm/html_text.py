@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._tables import bounded_batches
+
 TRAIN_PAGES = 240
 TREES, DEPTH = 40, 5
 
@@ -441,6 +443,7 @@ def extract_texts(pages: list[str], trees: Trees) -> list[str]:
 
 def main_text(pages: DataFrame, page: str = "html", trees: Trees | None = None) -> DataFrame:
     """The pages with text and n_chars."""
+    bounded_batches(pages.sparkSession)
     fitted = trees or fit(pages, page)
     held = pages.sparkSession.sparkContext.broadcast((fitted.trees, fitted.weights))  # plain arrays
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._tables import Written, row_key, texts_of
+from ._tables import Written, free_name, row_key, texts_of
 
 RARE = 20  # documents that share a rare line, at most
 BLOCK_WORDS = 15  # in a deleted block, and in a line that counts however frequent it is
@@ -165,10 +165,11 @@ def removed_lines(documents: DataFrame, tables: Written, text: str = "text", doc
 def dedup_lines(documents: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents with what is left of their text, and n_lines and n_removed."""
     tables = Written(documents.sparkSession, "line-dedup")
-    lost = removed_lines(documents, tables, text, doc_id).withColumnRenamed("key", "_key")
-    kept = [c for c in documents.columns if c.lower() not in {"n_lines", "n_removed", "_key"}]
-    keyed = documents.select(*(F.col(f"`{c}`") for c in kept), row_key(f"`{doc_id}`", f"`{text}`").alias("_key"))
-    joined = keyed.join(lost, "_key", "left")
+    key = free_name(documents, "_key")
+    lost = removed_lines(documents, tables, text, doc_id).withColumnRenamed("key", key)
+    kept = [c for c in documents.columns if c.lower() not in {"n_lines", "n_removed"}]
+    keyed = documents.select(*(F.col(f"`{c}`") for c in kept), row_key(f"`{doc_id}`", f"`{text}`").alias(key))
+    joined = keyed.join(lost.hint("merge"), key, "left")
     old = F.col(f"`{text}`").cast("string")
     n_lines = F.when(F.coalesce(F.length(old), F.lit(0)) == 0, 0).otherwise(F.size(F.split(old, "\n"))).cast("long")
     new = F.when(F.col("removed").isNull(), old).otherwise(F.arrow_udf(_cut, "string")(old, F.col("removed")))

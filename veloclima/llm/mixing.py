@@ -184,11 +184,12 @@ def mix(
 ) -> DataFrame:
     """The documents with size, source_size, target, rate, copies and taken (copies * size)."""
     tables = Written(documents.sparkSession, "mixing")
+    kept = [c for c in documents.columns if c.lower() not in RESULT]
     sized = documents.select(
-        *(F.col(f"`{c}`") for c in documents.columns if c.lower() not in {*RESULT, "_key", "_row_source"}),
-        F.col(source).cast("string").alias("_row_source"),
-        count_words(F.col(text).cast("string")).alias("size"),
-        row_key(doc_id, text).alias("_key"),
+        F.struct(*(F.col(f"`{c}`") for c in kept)).alias("_row"),
+        F.col(f"`{source}`").cast("string").alias("_row_source"),
+        count_words(F.col(f"`{text}`").cast("string")).alias("size"),
+        row_key(f"`{doc_id}`", f"`{text}`").alias("_key"),
     )
     slim = tables(sized.select(F.col("_row_source").alias("source"), "size", "_key"), "sizes")
     sizes = tables(slim.groupBy("source", "size").agg(F.count("*").alias("n")), "histogram")
@@ -217,5 +218,5 @@ def mix(
         mixed.withColumn("rate", _rate(F.col("size"), most))
         .withColumn("copies", (_copies(most) + F.coalesce(moved, F.lit(0))).cast("long"))
         .withColumn("taken", F.col("copies") * F.col("size"))
-        .drop("_row_source", "_source", "_key", "weight", "mean_size", "multiplier", "sign", "moved")
+        .select("_row.*", *RESULT)
     )

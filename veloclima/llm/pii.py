@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._tables import Written, row_key
+from ._tables import Written, free_name, row_key
 
 KINDS = ("email", "ip", "card", "phone", "number", "secret")
 BASE = KINDS[:4]
@@ -292,12 +292,13 @@ def find_personal_data(documents: DataFrame, text: str = "text", doc_id: str = "
     of ``KINDS``, then of start."""
     tables = Written(documents.sparkSession, "pii")
     spans = personal_spans(documents, tables, text, doc_id)
-    per_row = spans.groupBy(F.col("key").alias("_key")).agg(
+    name = free_name(documents, "_key")
+    per_row = spans.groupBy(F.col("key").alias(name)).agg(
         F.sort_array(F.collect_list(F.struct("place", "start", "end", "kind", "base"))).alias("personal")
     )
-    kept = [c for c in documents.columns if c.lower() not in {"personal", "_key"}]
-    rows = documents.select(*(F.col(f"`{c}`") for c in kept), row_key(f"`{doc_id}`", f"`{text}`").alias("_key"))
-    return rows.join(tables(per_row, "spans"), "_key", "left").drop("_key")
+    kept = [c for c in documents.columns if c.lower() != "personal"]
+    rows = documents.select(*(F.col(f"`{c}`") for c in kept), row_key(f"`{doc_id}`", f"`{text}`").alias(name))
+    return rows.join(tables(per_row, "spans"), name, "left").drop(name)
 
 
 def mask(documents: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._tables import texts_of
+from ._tables import bounded_batches, texts_of
 
 SAMPLE = 3000
 PIECE = 1024
@@ -144,6 +144,7 @@ def fit(documents: DataFrame, labels: DataFrame, text: str = "text", doc_id: str
 def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The documents with score and predicted.  The model is two dictionaries and five numbers."""
     curve = None if model.curve is None else model.curve.tolist()
+    bounded_batches(documents.sparkSession)
     held = documents.sparkSession.sparkContext.broadcast((model.share, model.dictionaries, curve))
 
     def scores(texts: pa.Array) -> pa.Array:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._tables import texts_of
+from ._tables import bounded_batches, free_name, texts_of
 
 SYMBOLS = b"#*$%&|<>"
 _SPACES = b" \t\n\x0b\f\r"
@@ -99,9 +99,11 @@ def failure_bits() -> Column:
 
 def ledger(documents: DataFrame, text: str = "text") -> DataFrame:
     """The documents with their measurements and ``failed_bits``."""
-    kept = [c for c in documents.columns if c.lower() not in {*MEASURES, "failed_bits", "_measured"}]
-    rows = documents.withColumn("_measured", measured(F.col(text).cast("string")))
-    return rows.select(*(F.col(f"`{c}`") for c in kept), "_measured.*").withColumn("failed_bits", failure_bits())
+    bounded_batches(documents.sparkSession)
+    name = free_name(documents, "_measured")
+    kept = [c for c in documents.columns if c.lower() not in {*MEASURES, "failed_bits"}]
+    rows = documents.withColumn(name, measured(F.col(f"`{text}`").cast("string")))
+    return rows.select(*(F.col(f"`{c}`") for c in kept), f"{name}.*").withColumn("failed_bits", failure_bits())
 
 
 def mask(policy: str | tuple[str, ...]) -> int:
@@ -115,8 +117,9 @@ def passes(policy: str | tuple[str, ...]) -> Column:
 
 def apply_policy(documents: DataFrame, policy: str = "v1", text: str = "text") -> DataFrame:
     """The documents that the policy keeps, with their own columns only."""
-    measured_rows = ledger(documents.withColumn("_row", F.struct(*(F.col(f"`{c}`") for c in documents.columns))), text)
-    return measured_rows.where(passes(policy)).select("_row.*")
+    whole = F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("_row")
+    rows = ledger(documents.select(whole, F.col(f"`{text}`").alias("_text")), "_text")
+    return rows.where(passes(policy)).select("_row.*")
 
 
 def ablations(rows: DataFrame, policy: str = "v1") -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._tables import Written, row_key, texts_of
+from ._tables import Written, free_name, row_key, texts_of
 from .components import components
 
 SHINGLE = 3
@@ -237,6 +237,7 @@ def keep_first(documents: DataFrame, text: str = "text", doc_id: str = "doc_id",
     rows, names = groups(documents, tables, text, doc_id, distance)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
     kept = rows.join(names, "fp").groupBy("root").agg(first.alias("f"))
-    keys = tables(kept.select(F.col("f.key").alias("_key")), "kept")
-    keyed = documents.withColumn("_key", row_key(f"`{doc_id}`", f"`{text}`"))
-    return keyed.join(keys, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    name = free_name(documents, "_key")
+    keys = tables(kept.select(F.col("f.key").alias(name)), "kept")
+    keyed = documents.withColumn(name, row_key(f"`{doc_id}`", f"`{text}`"))
+    return keyed.join(keys.hint("merge"), name, "left_semi").dropDuplicates([name]).drop(name)

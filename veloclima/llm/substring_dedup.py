@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._repeats import ROWS, RangeHash, classify, context_rows, covered, per_key, repeated_starts
-from ._tables import Written, groups_of, mixed, row_key, texts_of
+from ._tables import Written, free_name, groups_of, mixed, row_key, texts_of
 
 WINDOW = 35
 ROUNDS = 2
@@ -243,8 +243,9 @@ def dedup_substrings(
 ) -> DataFrame:
     """The documents with n_words, n_removed and kept (the words left, joined by one space)."""
     tables = Written(documents.sparkSession, "substring-dedup")
-    found = removed_spans(documents, tables, text, doc_id, window, rounds).withColumnRenamed("key", "_key")
-    kept = [c for c in documents.columns if c.lower() not in {"n_words", "n_removed", "kept", "_key", "_cut", "spans"}]
-    keyed = documents.select(*(F.col(f"`{c}`") for c in kept), row_key(f"`{doc_id}`", f"`{text}`").alias("_key"))
+    key, result = free_name(documents, "_key"), free_name(documents, "_cut")
+    found = removed_spans(documents, tables, text, doc_id, window, rounds).withColumnRenamed("key", key)
+    kept = [c for c in documents.columns if c.lower() not in {"n_words", "n_removed", "kept", "spans"}]
+    keyed = documents.select(*(F.col(f"`{c}`") for c in kept), row_key(f"`{doc_id}`", f"`{text}`").alias(key))
     cut = F.arrow_udf(_cut(window), _RESULT)(F.col(f"`{text}`").cast("string"), F.col("spans"))
-    return keyed.join(found, "_key", "left").withColumn("_cut", cut).select(*(F.col(f"`{c}`") for c in kept), "_cut.*")
+    return keyed.join(found.hint("merge"), key, "left").withColumn(result, cut).select(*(F.col(f"`{c}`") for c in kept), f"{result}.*")

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._repeats import ROWS, RangeHash, classify, context_rows, covered, per_key
-from ._tables import Written, groups_of, mixed, row_key, texts_of
+from ._tables import Written, free_name, groups_of, mixed, row_key, texts_of
 
 WINDOW = 200
 SEED = 16  # bytes whose hash can be an anchor
@@ -174,7 +174,7 @@ class RunIndex:
         self.rest = np.repeat(ends, lengths) - here  # bytes to the end of the text
         # the first 7 bytes, then how many of them are there
         key = np.zeros(n, np.uint64)
-        for k in range(7):
+        for k in range(min(7, n)):
             byte = np.zeros(n, np.uint64)
             byte[: n - k] = self.data[k:]
             key |= np.where(self.rest > k, byte, 0).astype(np.uint64) << np.uint64(8 * (7 - k))
@@ -332,9 +332,10 @@ def dedup_bytes(
 ) -> DataFrame:
     """The documents with n_bytes, n_removed, n_spans and kept (the bytes left)."""
     tables = Written(documents.sparkSession, "suffix-dedup")
-    found = removed_spans(documents, tables, text, doc_id, window, kinds, bucket_bytes).withColumnRenamed("key", "_key")
-    own = {"n_bytes", "n_removed", "n_spans", "kept", "_key", "_cut", "spans"}
+    key, result = free_name(documents, "_key"), free_name(documents, "_cut")
+    found = removed_spans(documents, tables, text, doc_id, window, kinds, bucket_bytes).withColumnRenamed("key", key)
+    own = {"n_bytes", "n_removed", "n_spans", "kept", "spans"}
     kept = [c for c in documents.columns if c.lower() not in own]
-    keyed = documents.select(*(F.col(f"`{c}`") for c in kept), row_key(f"`{doc_id}`", f"`{text}`").alias("_key"))
+    keyed = documents.select(*(F.col(f"`{c}`") for c in kept), row_key(f"`{doc_id}`", f"`{text}`").alias(key))
     cut = F.arrow_udf(_cut(window), _RESULT)(F.col(f"`{text}`").cast("string"), F.col("spans"))
-    return keyed.join(found, "_key", "left").withColumn("_cut", cut).select(*(F.col(f"`{c}`") for c in kept), "_cut.*")
+    return keyed.join(found.hint("merge"), key, "left").withColumn(result, cut).select(*(F.col(f"`{c}`") for c in kept), f"{result}.*")
