@@ -1,0 +1,51 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+SCHEMA = (
+    "doc_id long, text string, lang string, source string, n_chars long,"
+    " size string, `_KEY` string, found int, n_words string, rate string, spans string, kept string"
+)
+EXTRA = ("was size", "was key", 7, "was words", "was rate", "was spans", "was kept")
+
+
+def words(rng: random.Random, n: int) -> str:
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 8))) for _ in range(n))
+
+
+def hard_texts() -> list[tuple[int | None, str | None]]:
+    """Null and empty texts, null ids, copies, near copies, repeated rows, long ones."""
+    rng = random.Random(11)
+    passage, other = words(rng, 90), words(rng, 70)
+    lines = "\n".join(words(rng, 12) for _ in range(9))
+    rows: list[tuple[int | None, str | None]] = [(0, None), (1, ""), (2, " \t\n\x0b"), (3, "one"), (4, "é")]
+    rows += [(10 + k, f"{words(rng, 30)}\n{passage}\n{words(rng, 25 + k)}") for k in range(6)]
+    rows += [(20, lines), (21, lines), (22, lines.replace("a", "b", 1)), (22, lines.replace("a", "b", 1))]
+    rows += [(None, lines), (None, "a nameless text"), (None, None)]
+    rows += [(30, other + " " + other), (31, "x " * 400), (32, "é" * 500), (33, "😀" * 80), (34, "ab" * 2000)]
+    rows += [(40, words(rng, 30_000)), (41, "SHOUTING LOUD WORDS HERE " * 20), (42, "%%% ### *** " * 60)]
+    rows += [(50 + k, words(rng, rng.randint(5, 200))) for k in range(20)]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def texts():
+    return hard_texts()
+
+
+@pytest.fixture(scope="module")
+def hard(spark, texts):
+    """The hard rows as documents, with further columns whose names the operators use."""
+    rows = [(i, t, "en", f"src{n % 4}" if n % 5 else None, len(t or ""), *EXTRA) for n, (i, t) in enumerate(texts)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def multiset(rows) -> list[str]:
+    return sorted(map(repr, rows))
