@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._tables import bounded_batches
+from ._tables import Written, bounded_batches
 
 TRAIN_PAGES = 240
 TREES, DEPTH = 40, 5
@@ -422,8 +422,11 @@ def fit(pages: DataFrame, page: str = "html", train_pages: int = TRAIN_PAGES) ->
     sample = pages.select(key.alias("key"), F.col(f"`{page}`").cast("string").alias("page")).orderBy("key").limit(train_pages)
     rows = sample.unionAll(pages.sparkSession.range(20).selectExpr("id as key", "'' as page"))
     rows = rows.repartition(4, "key").sortWithinPartitions("key").mapInArrow(_training, "x array<double>, label double")
-    rows = rows.select(array_to_vector("x").alias("features"), "label")
+    # a few megabytes, read once per level of each tree: kept in as few files as tasks are of use
+    tables = Written(pages.sparkSession, "html-text")
+    rows = tables(rows.coalesce(4), "training").select(array_to_vector("x").alias("features"), "label")
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, maxBins=64, seed=1).fit(rows)
+    tables.drop("training")
     return _arrays(model)
 
 
