@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from veloclima.schema import TRIPS  # noqa: E402
-from veloclima.session import build_session  # noqa: E402
+from veloclima.session import build_session, clear_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -28,6 +28,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -33,6 +35,7 @@ def build_session(
 
 
 _local_roots: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
@@ -49,5 +52,16 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
         application = spark.sparkContext.applicationId
         if application not in _local_roots:
             _local_roots[application] = tempfile.mkdtemp(prefix="veloclima-")
+            atexit.register(shutil.rmtree, _local_roots[application], ignore_errors=True)
         root = _local_roots[application]
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete every scratch folder of this session.  Results that read them are void after that."""
+    conf = spark._jsc.hadoopConfiguration()
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
