@@ -4,7 +4,7 @@ Two zstandard dictionaries are built, one from good and one from bad labelled te
 is cut into pieces of ``PIECE`` bytes, each is compressed with either dictionary, and the
 normalised difference of the summed sizes says which of the two it resembles.  Because every
 piece starts from the dictionary, all of a long text counts.  A logistic curve over the
-difference, the compression ratio and its square, fitted to other labelled documents than
+difference and the logarithm of the compression ratio, their squares and their product, fitted to other labelled documents than
 the dictionaries, turns this into the chance of label 1.
 
 Labels are learned from a bounded sample: at most ``SAMPLE`` documents of each label, the
@@ -72,16 +72,18 @@ def sizes_of(text: bytes, bad: Callable, good: Callable) -> tuple[float, float]:
 
 
 def _terms(difference: np.ndarray, ratio: np.ndarray) -> np.ndarray:
-    return np.column_stack([np.ones(len(difference)), 10 * difference, ratio, ratio * ratio])
+    d, r = 10 * difference, np.log(ratio)
+    return np.column_stack([np.ones(len(d)), d, d * d, r, r * r, d * r])
 
 
 def fit_curve(difference: np.ndarray, ratio: np.ndarray, label: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     """Coefficients of a weighted logistic regression, by Newton steps."""
-    x, w = _terms(difference, ratio), np.zeros(4)
+    x = _terms(difference, ratio)
+    w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
         slope = x.T @ (weight * (label - p)) - ridge * w
-        bend = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(4)
+        bend = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
         step = np.linalg.solve(bend, slope)
         w = w + step * min(1.0, 5 / max(1e-9, np.abs(step).max()))
         if np.abs(step).max() < 1e-8:
