@@ -250,23 +250,18 @@ def chance_of(weights: dict[str, list[float]]) -> Column:
 def train(voted: DataFrame) -> tuple[Reliability, dict[str, list[float]]]:
     """Labeler reliabilities, and the span classifier trained on what follows from them."""
     columns = [f"vote_{n}" for n in LABELERS]
-    features = span_features()
-    counts = voted.select(*columns, *(c.alias(f"f_{n}") for n, c in features.items()))
-    both = [*columns, *(f"f_{n}" for n in features)]
-    rows = counts.groupBy(*both).agg(F.count("*").alias("n")).collect()  # combinations only
-    patterns: dict[tuple, int] = {}
-    for r in rows:
-        key = tuple(r[c] for c in columns)
-        patterns[key] = patterns.get(key, 0) + r.n
+    patterns = {tuple(r[c] for c in columns): r["n"] for r in voted.groupBy(*columns).agg(F.count("*").alias("n")).collect()}
     model = Reliability(sorted(patterns.items()))
-    chance = dict(zip(model.patterns, model.chance.tolist()))
-    sums: dict[tuple, list[float]] = {}
-    for r in rows:
-        own = sums.setdefault(tuple(r[f"f_{n}"] for n in features), [0.0, 0.0])
-        own[0] += r.n
-        own[1] += r.n * chance[tuple(r[c] for c in columns)]
-    training = [(values, n, y / n) for values, (n, y) in sorted(sums.items())]
-    return model, fit_classifier(training) if training else {"": [0.0], **{k: [0.0] * n for k, n in _FEATURE_VALUES.items()}}
+    if not patterns:
+        return model, {"": [0.0], **{name: [0.0] * n for name, n in _FEATURE_VALUES.items()}}
+    known = [(",".join(map(str, p)), float(c)) for p, c in zip(model.patterns, model.chance)]
+    table = F.create_map(*(F.lit(x) for pair in known for x in pair))
+    chance = F.element_at(table, F.concat_ws(",", *(F.col(c).cast("string") for c in columns)))
+    names = list(_FEATURE_VALUES)
+    spans = voted.select(*(c.alias(f"f_{n}") for n, c in span_features().items()), chance.alias("chance"))
+    sums = spans.groupBy(*(f"f_{n}" for n in names)).agg(F.count("*").alias("n"), F.avg("chance").alias("chance")).collect()
+    training = sorted((tuple(r[f"f_{n}"] for n in names), float(r["n"]), r["chance"]) for r in sums)
+    return model, fit_classifier(training)
 
 
 def personal_spans(documents: DataFrame, tables: Written, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
