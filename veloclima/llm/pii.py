@@ -247,13 +247,13 @@ def chance_of(weights: dict[str, list[float]]) -> Column:
     return 1 / (1 + F.exp(-total))
 
 
-def train(voted: DataFrame) -> tuple[Reliability, dict[str, list[float]]]:
+def train(voted: DataFrame) -> tuple[Reliability | None, dict[str, list[float]]]:
     """Labeler reliabilities, and the span classifier trained on what follows from them."""
     columns = [f"vote_{n}" for n in LABELERS]
     patterns = {tuple(r[c] for c in columns): r["n"] for r in voted.groupBy(*columns).agg(F.count("*").alias("n")).collect()}
-    model = Reliability(sorted(patterns.items()))
     if not patterns:
-        return model, {"": [0.0], **{name: [0.0] * n for name, n in _FEATURE_VALUES.items()}}
+        return None, {"": [0.0], **{name: [0.0] * n for name, n in _FEATURE_VALUES.items()}}
+    model = Reliability(sorted(patterns.items()))
     known = [(",".join(map(str, p)), float(c)) for p, c in zip(model.patterns, model.chance)]
     table = F.create_map(*(F.lit(x) for pair in known for x in pair))
     chance = F.element_at(table, F.concat_ws(",", *(F.col(c).cast("string") for c in columns)))
