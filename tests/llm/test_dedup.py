@@ -9,6 +9,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from hard_rows import empty, hard, multiset, texts  # noqa: F401
 from veloclima.llm import line_dedup, simhash, substring_dedup, suffix_dedup
 from veloclima.llm._repeats import RangeHash
 from veloclima.llm._tables import Written
@@ -17,9 +18,6 @@ from veloclima.llm.components import components
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def multiset(rows):
-    return sorted(map(repr, rows))
-
 
 def uncovered(sequence, window, seen):
     gone = [False] * len(sequence)

@@ -9,15 +9,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from hard_rows import empty, hard, multiset, texts  # noqa: F401
 from veloclima.llm import decontaminate, html_text, mixing, pii, quality_model, quality_rules
 from veloclima.llm._tables import Written, row_key
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def multiset(rows):
-    return sorted(map(repr, rows))
-
 
 # --- rules -------------------------------------------------------------------------------
 
