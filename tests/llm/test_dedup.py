@@ -226,3 +226,11 @@ def test_a_hot_line_pairs_with_its_first_holder_only(spark):
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
     assert got[0] == rows[0][1]
     assert all(got[k] == f"own {k}" for k in range(1, 300))
+
+
+def test_a_verse_of_short_lines_goes_however_many_have_it(spark):
+    verse = "\n".join(f"line {k} of the same short verse" for k in range(9))
+    rows = [(k, f"own {k}\n{verse}\nrest {k}") for k in range(25)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
+    assert got == {0: rows[0][1]} | {k: f"own {k}\nrest {k}" for k in range(1, 25)}

@@ -1,11 +1,13 @@
 """Line dedup by pairwise alignment.
 
-Documents overlap if they share a line that few documents have, or a long one.  A document
-is compared with the first holder of each such line, so there are no more pairs than shared
-lines, however many documents share one.  The two are aligned by patience diff: lines that
-each side has once, in the longest order common to both, split the texts, and what lies
-between is aligned in the same way.  Aligned runs of lines with at least ``BLOCK_WORDS``
-words are deleted from the later document.
+Documents overlap if they share a run of neighbouring lines with ``BLOCK_WORDS`` words.  From
+each line on, and back from each line, the shortest such run is hashed, and a document is
+compared with the first holder of each of its runs.  So there are no more pairs than two per
+line, however many documents share one, and none is left out: a line of a common block lies
+in such a run inside the block, and whoever holds the block, the run's first holder has that
+run.  The two are aligned by patience diff: lines that each side has once, in the longest
+order common to both, split the texts, and what lies between is aligned in the same way.
+Aligned runs of lines with at least ``BLOCK_WORDS`` words are deleted from the later document.
 
 The order of documents is that of doc_id (null last), then of the row's key.  Lines are
 compared without white space at their ends; lines without words match, but count nothing.
@@ -22,19 +24,34 @@ from __future__ import annotations
 import bisect
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._tables import Written, free_name, row_key, texts_of
+from ._repeats import RangeHash
+from ._tables import Written, free_name, mixed, row_key, texts_of
 
-RARE = 20  # documents that share a rare line, at most
-BLOCK_WORDS = 15  # in a deleted block, and in a line that counts however frequent it is
+BLOCK_WORDS = 15  # in a deleted block
+
+
+def block_runs(names: np.ndarray, words: np.ndarray, ends: np.ndarray, least: int = BLOCK_WORDS):
+    """(start, end, key) of the shortest runs with ``least`` words from each line on and back from each.
+
+    The lines are those of several documents, ``ends`` their first place and where each ends.
+    """
+    document = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    place = np.arange(len(names))
+    end = np.searchsorted(total, total[:-1] + least, "left")
+    start = np.searchsorted(total, total[1:] - least, "right") - 1
+    on, back = end <= ends[document + 1], start >= ends[document]
+    start, end = np.concatenate([place[on], start[back]]), np.concatenate([end[on], place[back] + 1])
+    return start, end, mixed(RangeHash(names)(start, end), (end - start).astype(np.uint64))
 
 
 def _line_hashes(texts: pa.Array) -> pa.Array:
-    import numpy as np
     import xxhash
 
     hashes, words, ends = [], [], [0]
@@ -44,14 +61,27 @@ def _line_hashes(texts: pa.Array) -> pa.Array:
             hashes.append((xxhash.xxh64_intdigest(line.strip(b" \t\x0b\f\r"), 7) | 1) if parts else 0)
             words.append(len(parts))
         ends.append(len(hashes))
-    offsets = pa.array(ends, pa.int32())
-    values = pa.array(np.array(hashes, dtype=np.uint64).view(np.int64))
-    lists = [pa.ListArray.from_arrays(offsets, x) for x in (values, pa.array(words, pa.int32()))]
-    return pa.StructArray.from_arrays(lists, ["hashes", "words"])
+    names, ends = np.array(hashes, dtype=np.uint64), np.array(ends)
+    start, _, key = block_runs(names, np.array(words, np.int64), ends)
+    document = np.searchsorted(ends, start, "right") - 1
+    order = np.lexsort((key, document))
+    document, key = document[order], key[order]
+    new = np.ones(len(key), bool)  # a run once per document
+    new[1:] = (document[1:] != document[:-1]) | (key[1:] != key[:-1])
+    run_ends = np.concatenate([[0], np.cumsum(np.bincount(document[new], minlength=len(ends) - 1))])
+    lists = [
+        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(x, kind))
+        for offsets, x, kind in ((ends, names.view(np.int64), pa.int64()), (ends, words, pa.int32()), (run_ends, key[new].view(np.int64), pa.int64()))
+    ]
+    return pa.StructArray.from_arrays(lists, ["hashes", "words", "runs"])
 
 
 _LINES = T.StructType(
-    [T.StructField("hashes", T.ArrayType(T.LongType())), T.StructField("words", T.ArrayType(T.IntegerType()))]
+    [
+        T.StructField("hashes", T.ArrayType(T.LongType())),
+        T.StructField("words", T.ArrayType(T.IntegerType())),
+        T.StructField("runs", T.ArrayType(T.LongType())),
+    ]
 )
 line_hashes = F.arrow_udf(_line_hashes, _LINES)
 
@@ -144,21 +174,20 @@ def removed_lines(documents: DataFrame, tables: Written, text: str = "text", doc
         F.col(f"`{doc_id}`").alias("name"),
         line_hashes(F.col(f"`{text}`").cast("string")).alias("l"),
     ).dropDuplicates(["key"])
-    docs = tables(own.select("key", "nameless", "name", "l.hashes", "l.words"), "lines")
+    docs = tables(own.select("key", "nameless", "name", "l.hashes", "l.words", "l.runs"), "lines")
     order = F.struct("nameless", "name", "key")
-    each = docs.select(order.alias("at"), F.explode(F.arrays_zip("hashes", "words")).alias("l"))
-    each = each.select("at", F.col("l.hashes").alias("h"), F.col("l.words").alias("w")).where("w > 0")
-    each = tables(each.distinct(), "each")  # a line once per document
-    held = each.groupBy("h").agg(F.count("*").alias("n"), F.min("at").alias("first"), F.max("w").alias("w"))
-    held = tables(held.where(f"n >= 2 and (n <= {RARE} or w >= {BLOCK_WORDS})").select("h", F.col("first.key").alias("first")), "held")
-    pairs = each.select("h", F.col("at.key").alias("key")).join(held, "h").where("key <> first").select("first", "key").distinct()
+    each = docs.select(order.alias("at"), F.explode("runs").alias("h"))
+    held = each.groupBy("h").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    held = tables(held.where("n >= 2").select("h", F.col("first.key").alias("first")), "held")
+    each = docs.select("key", F.explode("runs").alias("h"))
+    pairs = each.join(held, "h").where("key <> first").select("first", "key").distinct()
     pairs = tables(pairs, "pairs")
     firsts = docs.select(F.col("key").alias("first"), F.col("hashes").alias("first_hashes"))
     both = pairs.join(firsts, "first").join(docs.select("key", "hashes", "words"), "key")
     cut = both.select("key", F.arrow_udf(_align, "array<int>")("first_hashes", "hashes", "words").alias("cut"))
     lost = cut.where(F.size("cut") > 0).groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("cut"))).alias("removed"))
     lost = tables(lost, "removed")
-    tables.drop("lines", "each", "held", "pairs")
+    tables.drop("lines", "held", "pairs")
     return lost
 
 
