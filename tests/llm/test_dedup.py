@@ -234,3 +234,43 @@ def test_a_verse_of_short_lines_goes_however_many_have_it(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
     assert got == {0: rows[0][1]} | {k: f"own {k}\nrest {k}" for k in range(1, 25)}
+
+
+def common_lines(earlier, later):
+    """Places in later of lines in runs of 15 words that earlier has too: all starts, all pairs of places."""
+    gone = set()
+    for i in range(len(earlier)):
+        for j in range(len(later)):
+            k = 0
+            while i + k < len(earlier) and j + k < len(later) and earlier[i + k] == later[j + k]:
+                k += 1
+            if sum(len(x.split()) for x in later[j : j + k]) >= 15:
+                gone |= set(range(j, j + k))
+    return gone
+
+
+def all_pairs(texts):
+    split = [[x.strip() for x in t.split("\n")] for t in texts]
+    return [set().union(*(common_lines(a, b) for a in split[:n])) for n, b in enumerate(split)]
+
+
+def test_common_blocks_of_all_pairs_go(spark):
+    rng = np.random.default_rng(3)
+    p, q, r = (f"{x} has ten words in it and no more of them" for x in ("one", "two", "three"))
+    texts = [f"a\n{x}\nb" for x in (p, q, r)] + [f"{x}\n{p}\n{q}\n{r}\n{x}" for x in "cd"]
+    texts += [f"{p}\n{q}\nx\n{r}\n{r}", f"{r}\n{r}\nx\n{p}\n{q}", f"{p}\n{q}\nx\n{r}\n{r}\n\n \n"]
+    stock = [" ".join([f"w{k}"] * n) for k, n in enumerate((0, 0, 1, 3, 5, 7, 8, 9, 14, 15, 20))]
+    texts += ["\n".join(stock[k] for k in rng.integers(0, len(stock), rng.integers(0, 9))) for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(dict.fromkeys(texts))), "doc_id long, text string")
+    own = sorted((r.doc_id, r.text) for r in df.collect())
+    want = ["\n".join(x for y, x in enumerate(t.split("\n")) if y not in gone) for (_, t), gone in zip(own, all_pairs([t for _, t in own]))]
+    got = [r.text for r in line_dedup.dedup_lines(df).orderBy("doc_id").collect()]
+    assert got == want
+    assert sum(a != t for a, (_, t) in zip(got, own)) > 50
+
+
+def test_blocks_in_another_order_go():
+    p, q = [1, 2], [3, 4]
+    assert line_dedup.common_blocks([*q, *p], [*p, *q], [8] * 4) == [0, 1, 2, 3]
+    assert line_dedup.common_blocks([*q, 0, 1], [*p, *q], [8] * 4) == [2, 3]
+    assert line_dedup.common_blocks([2, 1, 4, 3], [*p, *q], [8] * 4) == []

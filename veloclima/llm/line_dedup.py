@@ -7,7 +7,9 @@ line, however many documents share one, and none is left out: a line of a common
 in such a run inside the block, and whoever holds the block, the run's first holder has that
 run.  The two are aligned by patience diff: lines that each side has once, in the longest
 order common to both, split the texts, and what lies between is aligned in the same way.
-Aligned runs of lines with at least ``BLOCK_WORDS`` words are deleted from the later document.
+Aligned runs of lines with at least ``BLOCK_WORDS`` words are deleted from the later document,
+and so are runs that both have in another order, which no alignment holds all of: a first
+holder speaks for the others, whose order may be that of the later document.
 
 The order of documents is that of doc_id (null last), then of the row's key.  Lines are
 compared without white space at their ends; lines without words match, but count nothing.
@@ -140,7 +142,7 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 
 
 def common_blocks(first: list[int], later: list[int], words: list[int], least: int = BLOCK_WORDS) -> list[int]:
-    """Places in ``later`` of lines in aligned runs with enough words."""
+    """Places in ``later`` of lines in common runs with enough words, aligned or moved."""
     cut, run = [], []
     for i, j in [*patience(first, later), (-2, -2)]:
         if run and (i, j) != (run[-1][0] + 1, run[-1][1] + 1):
@@ -148,7 +150,20 @@ def common_blocks(first: list[int], later: list[int], words: list[int], least: i
                 cut += [y for _, y in run]
             run = []
         run.append((i, j))
-    return cut
+    return sorted({*cut, *_moved(first, later, words, cut, least)})
+
+
+def _moved(first: list[int], later: list[int], words: list[int], cut: list[int], least: int) -> list[int]:
+    """Places in ``later`` of the shortest runs with enough words that ``first`` has anywhere."""
+    have, gone, known = set(first), set(cut), dict(zip(later, words))
+    if not any(line in have and y not in gone for y, line in enumerate(later)):
+        return []
+    lines = np.array([*first, *later], np.int64).view(np.uint64)
+    counts = np.array([*(known.get(x, least) for x in first), *words], np.int64)
+    start, end, key = block_runs(lines, counts, np.array([0, len(first), len(lines)]), least)
+    own = start >= len(first)
+    both = np.isin(key[own], key[~own])
+    return [y - len(first) for s, e in zip(start[own][both].tolist(), end[own][both].tolist()) for y in range(s, e)]
 
 
 def _align(first: pa.Array, later: pa.Array, words: pa.Array) -> pa.Array:
