@@ -161,6 +161,18 @@ def test_targets_and_copies(spark, seed):
     assert sorted((r.doc_id, r.taken) for r in again) == sorted((r.doc_id, r.taken) for r in got)
 
 
+def test_sources_of_like_sizes_reach_their_targets(spark):
+    rng = random.Random(5)
+    rows = [(k, "abcd"[k % 4], "w " * rng.randint(64, 127)) for k in range(12_000)]
+    rows += [(20_000 + k, "e", "w " * 100) for k in range(3000)]
+    mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), weights=(3, 5, 3, 5, 4))
+    got = mixed.groupBy("source").agg({"taken": "sum", "target": "max"}).collect()
+    assert len(got) == 5
+    for r in got:
+        assert abs(r["sum(taken)"] - r["max(target)"]) < 127, r
+    assert mixed.where("abs(copies - rate) >= 2").isEmpty()
+
+
 def test_hard_rows_mix(hard, empty, texts):
     rows = mixing.mix(hard)
     assert set(rows.columns) == set(hard.columns) | set(mixing.RESULT)

@@ -11,8 +11,9 @@ steps on the dual run as aggregates over (source, size, number of documents): th
 one row for each size that a source has, whatever the number of documents.
 
 Rates become copies by hash, so that reruns agree: the whole part, and one more copy with
-the chance of the fraction.  What a source then has too much or too little is given to a few
-documents per size class, largest first, down to less than the smallest of them.
+the chance of the fraction.  Each source moves its chances by one small amount, so that its
+words reach the target up to the one document that would go beyond it (with the rows that
+repeat it).  What is still missing is given to a few documents per size class, largest first.
 
 Everything is DataFrame expressions.  Documents are not shuffled while Spark can ship the
 table of sources (one row per source) whole, which it checks itself.
@@ -35,6 +36,8 @@ WEIGHTS = (5, 2, 1)  # by the order of sources, repeating
 MOST = 3  # copies of a document, and of a source
 CLOSE = 1e-9  # relative distance of a source's tilted words from its target
 _PICKS = 8  # candidates for the last correction in each size class
+_ONE = 1 << 52  # a chance of one
+_PARTS = 1 << 11  # of the range that holds a source's edge, in each round
 
 RESULT = ("size", "source_size", "target", "rate", "copies", "taken")
 
@@ -142,11 +145,53 @@ def solve(sizes: DataFrame, targets: DataFrame, tables: Written, most: int = MOS
         state = state.drop("done")
 
 
-def _copies(most: int) -> Column:
-    chance = F.pmod(F.xxhash64(F.lit("copies"), F.col("_key")), F.lit(1 << 52)) / F.lit(float(1 << 52))
-    rate = F.col("rate")
-    whole = F.floor(rate)
-    return (whole + F.when(chance < rate - whole, F.lit(1)).otherwise(0)).cast("long")
+def _place() -> Column:
+    """Where a document's fraction stands in the order of rounding up; null without a fraction.
+
+    Below ``_ONE`` the chance alone would round it up.
+    """
+    chance = F.pmod(F.xxhash64(F.lit("copies"), F.col("_key")), F.lit(_ONE))
+    part = F.col("rate") - F.floor("rate")
+    return F.when(part > 0, chance - F.floor(part * float(_ONE)) + F.lit(_ONE))
+
+
+def _copies() -> Column:
+    return (F.floor("rate") + F.when(_place() < F.col("edge"), F.lit(1)).otherwise(0)).cast("long")
+
+
+def rounding_edges(rows: DataFrame, tables: Written) -> DataFrame:
+    """(source, edge): documents placed below the edge are rounded up; one more would be too many.
+
+    Each round counts the words in ``_PARTS`` parts of the range that holds the edge, in
+    partial aggregates, and goes on with one part, until it holds one document or one place.
+    """
+    whole = F.sum(F.floor("rate") * F.col("size"))
+    first = rows.groupBy("source").agg((F.max("target") - whole).alias("open"))
+    state = tables(first.select("source", "open", F.lit(0).cast("long").alias("edge"), F.lit(0).cast("long").alias("below")), "edge0")
+    placed = rows.select(F.col("source").alias("_source"), "size", _place().alias("place")).where("place is not null")
+    width, rounds = 2 * _ONE, 0
+    while True:
+        step = max(1, width // _PARTS)
+        inside = placed.join(state, F.col("source").eqNullSafe(F.col("_source")))
+        inside = inside.where((F.col("place") >= F.col("edge")) & (F.col("place") < F.col("edge") + F.lit(width)))
+        part = F.floor((F.col("place") - F.col("edge")) / F.lit(float(step))).cast("long")
+        sums = inside.groupBy("source", "open", "edge", "below", part.alias("part")).agg(F.sum("size").alias("words"), F.count("*").alias("n"))
+        up_to = F.col("below") + F.sum("words").over(Window.partitionBy("source").orderBy("part"))
+        over = sums.withColumn("up_to", up_to).where("up_to > open")
+        at = F.struct((F.col("edge") + F.col("part") * F.lit(step)).alias("edge"), (F.col("up_to") - F.col("words")).alias("below"), "n")
+        found = over.groupBy(F.col("source").alias("_source")).agg(F.min_by(at, "part").alias("at"))
+        state = state.join(found, F.col("source").eqNullSafe(F.col("_source")), "left").select(
+            "source", "open",
+            F.coalesce("at.edge", F.col("edge") + F.lit(width)).alias("edge"),  # nothing is over: all are rounded up
+            F.coalesce("at.below", "below").alias("below"),
+            F.coalesce("at.n", F.lit(0)).alias("n"),
+        )
+        rounds += 1
+        state = tables(state, f"edge{rounds}")
+        tables.drop(f"edge{rounds - 1}")
+        width = step
+        if width == 1 or state.where("n > 1").isEmpty():
+            return state.select("source", "edge")
 
 
 def _corrections(rows: DataFrame, most: int) -> DataFrame:
@@ -206,17 +251,20 @@ def mix(
         slim.withColumnRenamed("source", "_row_source")
         .join(solved, F.col("_row_source").eqNullSafe(F.col("source")))
         .withColumn("rate", _rate(F.col("size"), most))
-        .withColumn("copies", _copies(most))
     )
+    edges = tables(rounding_edges(rated, tables).withColumnRenamed("source", "_source"), "edges")
+    solved = tables(solved.join(edges, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source"), "edged")
+    edges = edges.withColumnRenamed("_source", "_edge_source")
+    rated = rated.join(edges, F.col("source").eqNullSafe(F.col("_edge_source"))).withColumn("copies", _copies())
     moves = _corrections(rated, most).withColumnRenamed("source", "_source")
     final = tables(solved.join(moves, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source"), "final")
-    tables.drop("sizes", "histogram", "targets", "solved")
+    tables.drop("sizes", "histogram", "targets", "solved", "edges", "edged")
     moved = F.when(F.array_contains("moved", F.col("_key")), F.col("sign")).otherwise(0)
     facts = final.withColumnRenamed("source", "_source")
     mixed = sized.join(facts, F.col("_row_source").eqNullSafe(F.col("_source")))
     return (
         mixed.withColumn("rate", _rate(F.col("size"), most))
-        .withColumn("copies", (_copies(most) + F.coalesce(moved, F.lit(0))).cast("long"))
+        .withColumn("copies", (_copies() + F.coalesce(moved, F.lit(0))).cast("long"))
         .withColumn("taken", F.col("copies") * F.col("size"))
         .select("_row.*", *RESULT)
     )
