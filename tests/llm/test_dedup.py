@@ -274,3 +274,26 @@ def test_blocks_in_another_order_go():
     assert line_dedup.common_blocks([*q, *p], [*p, *q], [8] * 4) == [0, 1, 2, 3]
     assert line_dedup.common_blocks([*q, 0, 1], [*p, *q], [8] * 4) == [2, 3]
     assert line_dedup.common_blocks([2, 1, 4, 3], [*p, *q], [8] * 4) == []
+
+
+@pytest.mark.parametrize("operator", [substring_dedup, suffix_dedup])
+def test_rows_that_repeat_a_document_do_not_add_to_its_lists(spark, operator):
+    rng = np.random.default_rng(9)
+    some = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 5000, n))
+    passage = some(120)
+    rows = [(None, f"{some(60)} {passage} {some(60)}")] * 40 + [(1, f"{some(60)} {passage} {some(60)}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    asked = []
+
+    class Seen(Written):
+        def __call__(self, df, name):
+            out = super().__call__(df, name)
+            if name == "wanted":
+                asked.extend(out.collect())
+            return out
+
+    arguments = (substring_dedup.WINDOW, substring_dedup.ROUNDS) if operator is substring_dedup else (suffix_dedup.WINDOW, suffix_dedup.KINDS, suffix_dedup.BUCKET_BYTES)
+    found = operator.removed_spans(df, Seen(spark, "t"), "text", "doc_id", *arguments).collect()
+    assert len(found) == 2 and len(asked) == 2
+    for lists in ([r.spans for r in found], [r.wanted for r in asked]):
+        assert all(len(x) == len(set(x)) > 0 for x in lists)

@@ -87,8 +87,8 @@ def repeated_starts(windows: DataFrame, tables: Written) -> DataFrame:
 
 
 def per_key(spans: DataFrame) -> DataFrame:
-    """(key, spans): all of one document's, as many as it has windows at most."""
-    return spans.groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    """(key, spans): all of one document's, as many as it has windows at most, however many rows repeat it."""
+    return spans.groupBy("key").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
 
 def covered(spans: list[dict] | None, window: int, length: int) -> np.ndarray:

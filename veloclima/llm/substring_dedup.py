@@ -228,7 +228,7 @@ def removed_spans(documents: DataFrame, tables: Written, text: str, doc_id: str,
     keyed = documents.select(row_key(f"`{doc_id}`", f"`{text}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     rows = tables(keyed.mapInArrow(_anchor_rows(window, rounds), ROWS), "rows")
     spans, left = classify(rows, tables)
-    wanted = left.groupBy("key").agg(F.collect_list(F.struct("anchor", "first", "last", "known")).alias("wanted"))
+    wanted = left.groupBy("key").agg(F.collect_set(F.struct("anchor", "first", "last", "known")).alias("wanted"))
     # rows that repeat a document ask for the same windows: once is enough, their spans are known
     texts = keyed.join(tables(wanted, "wanted"), "key").dropDuplicates(["key"])
     windows = tables(texts.select("key", "text", "wanted").mapInArrow(_window_rows(window), _WINDOWS), "windows")

@@ -310,7 +310,7 @@ def removed_spans(
     spans, left = classify(rows, tables)
     size = left.where(F.col("kinds") <= kinds).agg(F.sum(F.col("last") - F.col("first") + window)).first()[0] or 0
     buckets = max(1, -(-size // bucket_bytes))
-    wanted = left.groupBy("key").agg(F.collect_list(F.struct("anchor", "first", "last", "known", "kinds")).alias("wanted"))
+    wanted = left.groupBy("key").agg(F.collect_set(F.struct("anchor", "first", "last", "known", "kinds")).alias("wanted"))
     texts = keyed.join(tables(wanted, "wanted"), "key").dropDuplicates(["key"])
     found = tables(texts.select("key", "text", "wanted").mapInArrow(_left_rows(window, kinds), _LEFT), "left")
     bodies = found.where("body is not null").select("key", "at", "known", "body", F.pmod(F.xxhash64("anchor"), F.lit(buckets)).alias("bucket"))
