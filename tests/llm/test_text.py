@@ -344,6 +344,20 @@ def test_hard_pages(spark, trees):
     assert html_text.main_text(df.limit(0), trees=trees).count() == 0
 
 
+def test_only_raw_text_is_skipped(trees):
+    page = "<html><body><nav><a href=/>menu</a></nav><article><h1>Title</h1>%s<p>The rain fell over the old town again, and again.</p></article></body></html>"
+    after = "The rain fell over the old town again, and again."
+    formula = "<p>The area is <math><mi>a</mi><mo>=</mo><mrow><mi>b</mi><mi>c</mi></mrow><annotation>a=bc</annotation></math> as all know here.</p>"
+    assert html_text.extract_texts([page % formula], trees) == [f"Title\nThe area is a=bc as all know here.\n{after}"]
+    for tag in ("math", "svg", "object", "audio", "video", "canvas", "select", "annotation"):
+        assert after in " ".join(t for _, t in html_text.parse(page % f"<p>Stray <{tag}> tag.</p>")[1]), tag
+        inside = " ".join(t for _, t in html_text.parse(page % f"<p>It is <{tag}>inside</{tag}> here.</p>")[1])
+        assert ("inside" in inside) == (tag not in ("select", "annotation")) and after in inside
+    for tag in ("math", "svg"):
+        assert html_text.extract_texts([page % f"<p>Stray <{tag}> tag stands here.</p>"], trees) == [f"Title\nStray tag stands here.\n{after}"]
+    assert all(after not in t for _, t in html_text.parse(page % "<script>")[1])
+
+
 def test_nothing_is_kept_below_what_is_left_out():
     nodes, runs = html_text.parse("<div><section><p>one</p></section><p>two</p></div>")
     own, _ = html_text.features(nodes)

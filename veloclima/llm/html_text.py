@@ -12,7 +12,9 @@ and without telling names, so that the trees learn from shape as well as from na
 MLlib fits them; the fitted trees are small arrays and go to the tasks.
 
 Text: character references are decoded, white space in a block becomes one space, blocks are
-joined by line breaks in page order, nothing else is dropped or cut.
+joined by line breaks in page order.  What browsers read as raw text (scripts, styles and so
+on), templates, selections and sources of formulas are no text; formulas and drawings are part
+of the line they stand in.  Nothing else is dropped or cut.
 
 Defined results: a null or empty page has an empty text; unclosed and stray tags are taken
 as browsers take them, roughly; without any page to learn from, the layouts alone are the
@@ -39,8 +41,15 @@ TREES, DEPTH = 40, 5
 
 # --- fixed values: names of HTML, and common words in class, id and role ------------------
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math object audio video canvas textarea select title head".split())
-INLINE = frozenset(
+RAW = frozenset("script style noscript template iframe textarea select title head annotation annotation-xml".split())
+GOES_ON = frozenset("select annotation annotation-xml".split())  # skipped, but without an end only the tag is
+FALLBACK = frozenset("object audio video canvas".split())  # may stand in a paragraph
+FOREIGN = frozenset(
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder"
+    " mover munderover mmultiscripts mprescripts mtable mtr mtd semantics svg g defs path rect circle ellipse line polyline polygon"
+    " text tspan textpath use symbol desc lineargradient radialgradient stop clippath mask pattern marker image foreignobject".split()
+)
+INLINE = FOREIGN | frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong"
     " sub sup time tt u var wbr".split()
 )
@@ -148,7 +157,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if tag in RAW:
             if tag != "head" and not attributes.endswith("/"):
                 end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                at = end.end() if end else n
+                at = end.end() if end else at if tag in GOES_ON else n
             if tag == "head":
                 end = re.compile(r"</head\s*>|<body\b", re.I).search(page, at)
                 if end:
@@ -156,6 +165,8 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             pending.append(" ")
             continue
         if tag in INLINE:
+            if tag in FOREIGN:
+                continue
             nodes[open_nodes[-1]].n_tags += 1
             if tag == "br":
                 pending.append(" ")
@@ -173,7 +184,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if tag in ("html", "body"):  # both are there from the start
             continue
         inline.clear()
-        if nodes[open_nodes[-1]].tag == "p":  # a block ends a paragraph
+        if nodes[open_nodes[-1]].tag == "p" and tag not in FALLBACK:  # a block ends a paragraph
             open_nodes.pop()
         if tag in CLOSED_BY:
             for k in range(len(open_nodes) - 1, 1, -1):
