@@ -1,7 +1,8 @@
 """Personal data by weak supervision.
 
 Four kinds are fixed patterns with a check (``BASE``); their spans always count.  Two more
-are open: ``number`` (other long digit groups) and ``secret`` (keys, tokens, passwords).
+are open: ``number`` (other long digit groups) and ``secret`` (keys, tokens and the like of 16
+characters and more, with two digits and two letters; shorter passwords are not looked for).
 Candidates of all kinds are judged by labelers that vote for, against or not at all: the
 kind's own pattern, gazetteers of prefixes and endings, words before the span, its shape,
 and how many documents have it.  Nobody says which votes are right: expectation
