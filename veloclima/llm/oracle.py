@@ -92,9 +92,85 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, bits
 FROM judged
 """
 
+OP11 = r"""
+WITH bits AS (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, b: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) t(i)),
+crc AS MATERIALIZED (SELECT list(c ORDER BY i) AS tbl FROM bits),
+texts AS MATERIALIZED (
+    SELECT row_number() OVER () AS d, raw, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM (SELECT true AS raw, doc_id, text FROM documents UNION ALL SELECT false, NULL, text FROM benchmark)),
+grams AS MATERIALIZED (
+    SELECT d, raw, unnest(words || list_transform(range(1, len(words)), lambda k: words[k] || ' ' || words[k + 1])) AS g FROM texts),
+kinds AS (SELECT DISTINCT g, hex(encode(g)) AS h FROM grams),
+bytes AS (SELECT g, list_transform(range(0, length(h) // 2), lambda k: ('0x' || substr(h, 2 * k + 1, 2))::BIGINT) AS b FROM kinds),
+buckets AS MATERIALIZED (
+    SELECT g, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, tbl[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+    FROM bytes, crc),
+counts AS (SELECT bucket, count(*) FILTER (raw) AS s, count(*) FILTER (NOT raw) AS t FROM grams JOIN buckets USING (g) GROUP BY bucket),
+totals AS (SELECT count(*) FILTER (raw) AS s_all, count(*) FILTER (NOT raw) AS t_all FROM grams),
+gains AS MATERIALIZED (
+    SELECT bucket, CAST(floor(1000 * ln(((t + 1)::DOUBLE * (s_all + 10000)) / ((s + 1)::DOUBLE * (t_all + 10000)))) AS BIGINT) AS gain
+    FROM counts, totals),
+weights AS (
+    SELECT d, count(*) AS n_features, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight
+    FROM grams JOIN buckets USING (g) JOIN gains USING (bucket) WHERE raw GROUP BY d),
+scored AS (
+    SELECT doc_id, len(words) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT
+               + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+    FROM texts LEFT JOIN weights USING (d) WHERE raw),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place,
+           count(*) OVER (PARTITION BY n_words >= 20) AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 25 * n // 100 THEN place END AS rank FROM ranked
+"""
+
+
+def _op13(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Each round is one assignment and one step of the means; the last assignment gives the codes."""
+    steps = [
+        f"""
+whole AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * x::DOUBLE) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+cut AS MATERIALIZED (SELECT r, p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] AS x FROM whole, range({parts}) t(p)),
+seeds AS (SELECT r, row_number() OVER (ORDER BY vec_id NULLS LAST) - 1 AS e FROM whole QUALIFY e < {entries}),
+c0 AS MATERIALIZED (SELECT p, e, x AS c FROM cut JOIN seeds USING (r))"""
+    ]
+    for k in range(rounds + 1):
+        steps.append(f"""
+a{k} AS MATERIALIZED (
+    SELECT r, p, any_value(x) AS x,
+           min(struct_pack(d := CAST(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), e := e)) AS best
+    FROM cut JOIN c{k} USING (p) GROUP BY r, p)""")
+        if k < rounds:
+            steps.append(f"""
+m{k} AS (
+    SELECT p, e, list(m ORDER BY i) AS c FROM (
+        SELECT p, best.e AS e, i, CAST(floor(sum(y)::DOUBLE / count(*)) AS BIGINT) AS m
+        FROM (SELECT p, best, unnest(x) AS y, generate_subscripts(x, 1) AS i FROM a{k}) GROUP BY ALL) GROUP BY p, e),
+c{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(m{k}.c, c{k}.c) AS c FROM c{k} LEFT JOIN m{k} USING (p, e))""")
+    steps.append(f"""
+coded AS (
+    SELECT r, string_agg(lower(right('0' || hex(best.e), 2)), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error
+    FROM a{rounds} GROUP BY r),
+books AS (
+    SELECT sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY p, e, i)) AS codebooks_sha256
+    FROM (SELECT p, e, unnest(c) AS y, generate_subscripts(c, 1) AS i FROM c{rounds}))""")
+    return f"""WITH {",".join(steps)}
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM whole JOIN coded USING (r), books
+"""
+
+
 ORACLES = {
     "op2_decontaminate": OP2,
     "op5_substring_dedup": OP5,
     "op6_suffix_dedup": OP6,
     "op8_quality_rules": OP8,
+    "op11_resampling": OP11,
+    "op13_vector_codes": _op13(),
 }

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, line_dedup, mixing, pii, quality_model, quality_rules, simhash, substring_dedup, suffix_dedup
+from . import (
+    decontaminate,
+    html_text,
+    line_dedup,
+    mixing,
+    pii,
+    quality_model,
+    quality_rules,
+    resampling,
+    sentence_pieces,
+    simhash,
+    substring_dedup,
+    suffix_dedup,
+    vector_codes,
+)
 from .oracle import ORACLES as ORACLES
 
 QUERIES = {}
@@ -92,3 +106,26 @@ def op10_line_dedup(spark, sf_dir):
     rows = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
+
+@query
+def op11_resampling(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = resampling.resample(documents, _table(spark, sf_dir, "benchmark"), percent=25, least_words=20, seed=7)
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op12_sentence_pieces(spark, sf_dir):
+    import public_tokenizers
+
+    model = sentence_pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    rows = sentence_pieces.round_trip(_table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    digests = F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    return rows.select("doc_id", "n_tokens", *digests)
+
+
+@query
+def op13_vector_codes(spark, sf_dir):
+    coded, codebooks = vector_codes.compress(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    digest = F.lit(vector_codes.codebooks_digest(codebooks)).alias("codebooks_sha256")
+    return coded.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", digest)
