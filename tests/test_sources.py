@@ -4,6 +4,7 @@ import zipfile
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 import pytest
 from py4j.protocol import Py4JJavaError
@@ -22,6 +23,8 @@ from veloclima.sources import (
     timestamps_from_nanos,
     trips_from_archives,
 )
+from veloclima.sources import archives
+from veloclima.sources.archives import packed
 
 HEADER = ",".join(TRIP_COLUMNS)
 LINE = "{id},classic,2022-09-14 08:00:00,2022-09-14 08:10:00,{name},00123,B,,41.88,-87.63,41.89,-87.64,member"
@@ -195,3 +198,63 @@ def test_import_needs_no_session(tmp_path):
     root = Path(__file__).resolve().parents[1]
     code = f"import sys; sys.path.insert(0, {str(root)!r}); import __spark_entry__ as e; e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=120)
+
+
+def test_archives_are_dealt_by_size():
+    assert packed([5, 1, 9, 1, 1, 3], 2) == [[2, 3], [0, 5, 1, 4]]
+    assert packed([1, 1], 8) == [[0], [1]] and packed([], 3) == []
+    rng = random.Random(3)
+    sizes = [rng.randint(1, 1000) for _ in range(200)]
+    tasks = packed(sizes, 16)
+    assert sorted(k for own in tasks for k in own) == list(range(200))
+    loads = [sum(sizes[k] for k in own) for own in tasks]
+    assert max(loads) - min(loads) <= max(sizes) and len(tasks) == 16
+
+
+def test_every_archive_has_its_place_in_a_task(spark, tmp_path):
+    for k in range(20):
+        lines = [LINE.format(id=f"{k}-{n}", name="A") for n in range(1 + 50 * (k == 3))]
+        archive(tmp_path / f"{k:06d}-x.zip", ("m.csv", csv_text(*lines)))
+    df = read_trips_zip(spark, f"{tmp_path}/*.zip", tasks=5)
+    assert df.rdd.getNumPartitions() == 5 and df.count() == 70
+    own = df.select("source").distinct().groupBy(F.spark_partition_id()).count()
+    assert df.select("source").distinct().count() == 20 and own.count() >= 1
+    places = df.select("source", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len(places) == 20 and len({r.task for r in places}) == 5
+    large = next(r.task for r in places if r.source.endswith("000003-x.zip"))
+    assert sum(r.task == large for r in places) < 5  # the large archive has fewer beside it
+    assert read_trips_zip(spark, [str(tmp_path), f"{tmp_path}/000001*.zip"]).count() == 70  # each once
+
+
+def test_archives_that_are_not_there_or_cannot_be_opened(spark, tmp_path, monkeypatch):
+    with pytest.raises(FileNotFoundError, match="no archive matches"):
+        read_trips_zip(spark, f"{tmp_path}/*.zip")
+    archive(tmp_path / "m.zip", ("m.csv", csv_text(LINE.format(id="1", name="A"))))
+    monkeypatch.setattr(archives, "listed", lambda spark, patterns: [("wasbs://a/b.zip", 10)])
+    with pytest.raises(ValueError, match="wasbs://"):
+        read_trips_zip(spark, "wasbs://a/*.zip")
+    folder = str(tmp_path)
+
+    def opener(path):
+        return pafs.LocalFileSystem(), path.replace("wasbs://a/b.zip", f"{folder}/m.zip")
+
+    rows = read_trips_zip(spark, "wasbs://a/*.zip", opener=opener).collect()
+    assert [(r.ride_id, r.source) for r in rows] == [("1", "wasbs://a/b.zip")]
+
+
+def test_a_row_longer_than_a_block(spark, tmp_path):
+    lines = [LINE.format(id=k, name=f'"{"x" * (3_000_000 if k == 40 else 5)}"') for k in range(60)]
+    archive(tmp_path / "m.zip", ("m.csv", csv_text(*lines)))
+    with zipfile.ZipFile(tmp_path / "m.zip") as box:
+        assert box.infolist()[0].file_size > 3_000_000
+    rows = [r for b in small_blocks(tmp_path / "m.zip") for r in b.to_pylist()]
+    assert [r["ride_id"] for r in rows] == [str(k) for k in range(60)] and len(rows[40]["start_station_name"]) == 3_000_000
+
+
+def small_blocks(path):
+    before, archives._BLOCK_BYTES = archives._BLOCK_BYTES, 1 << 12
+    try:
+        with archives.opened(str(path)) as file:
+            yield from archives.first_member_rows(file, str(path))
+    finally:
+        archives._BLOCK_BYTES = before

@@ -1,0 +1,168 @@
+"""Months replaced at once: whatever step a job is lost at, the table is the old one or the new one."""
+
+import datetime as dt
+import json
+
+import pytest
+
+from veloclima import plans, swap
+from veloclima.operators import count_by_month
+from veloclima.schema import TRIP_COLUMNS
+from veloclima.sinks import append_months, replace_months, write_months
+from veloclima.sources import read_months
+
+from test_jobs import month
+
+
+class Lost(Exception):
+    """The driver is gone."""
+
+
+def september(n):
+    return {"started_at": dt.datetime(2022, 9, n)}
+
+
+def october(n):
+    return {"started_at": dt.datetime(2022, 10, n)}
+
+
+@pytest.fixture
+def old(make_trips):
+    return make_trips(september(1), september(2), october(3), {"started_at": dt.datetime(2022, 11, 4)})
+
+
+@pytest.fixture
+def new(make_trips):
+    return make_trips(september(11), september(12), september(13))
+
+
+def held(spark, path, schema=True):
+    df = read_months(spark, path) if schema else read_months(spark, path, None)
+    return sorted((r.month, r.started_at.day) for r in df.collect())
+
+
+OLD = [(9, 1), (9, 2), (10, 3), (11, 4)]
+NEW = [(9, 11), (9, 12), (9, 13), (11, 4)]
+
+
+def lose_after(monkeypatch, n):
+    """The n-th change to the file system is the last."""
+    done = [0]
+
+    def counted(name):
+        real = getattr(swap.Folder, name)
+
+        def step(self, *args):
+            if done[0] >= n:
+                raise Lost
+            done[0] += 1
+            return real(self, *args)
+
+        monkeypatch.setattr(swap.Folder, name, step)
+
+    for name in ("move", "make", "delete"):
+        counted(name)
+    return done
+
+
+def replace(new, path):
+    replace_months(new.repartition(2), path, months=[(2022, 9), (2022, 10)])
+
+
+def test_a_job_lost_at_any_step(spark, old, new, tmp_path, monkeypatch):
+    seen, n = [], 0
+    monkeypatch.setattr(swap, "_THREADS", 1)
+    while True:
+        path = str(tmp_path / f"t{n}")
+        write_months(old.coalesce(1), path)
+        with monkeypatch.context() as lost:
+            done = lose_after(lost, n)
+            try:
+                replace(new, path)
+                assert done[0] <= n
+                break
+            except Lost:
+                pass
+        seen.append(held(spark, path))
+        assert seen[-1] in (OLD, NEW) and held(spark, path, schema=False) == seen[-1]
+        assert {r.month: r.n for r in count_by_month(read_months(spark, path)).collect()}[None] == 4
+        # the next writer finishes what was published, and only that
+        append_months(old.limit(0), path)
+        assert held(spark, path) == seen[-1] and not swap.Folder(spark, path).exists(swap.JOURNAL)
+        assert sorted((r.month, r.started_at.day) for r in spark.read.parquet(path).collect()) == seen[-1]
+        replace(new, path)
+        assert held(spark, path) == NEW
+        n += 1
+    assert held(spark, path) == NEW and n > 6
+    at = seen.index(NEW)
+    assert 0 < at and set(map(str, seen[:at])) == {str(OLD)} and set(map(str, seen[at:])) == {str(NEW)}
+
+
+def test_what_is_appended_meanwhile_stays(spark, old, new, tmp_path, make_trips, monkeypatch):
+    path = str(tmp_path / "t")
+    write_months(old, path)
+    with monkeypatch.context() as lost:
+        lost.setattr(swap, "settle", lambda *args: None)
+        replace(new, path)
+    journal = json.loads(swap.Folder(spark, path).read(swap.JOURNAL))
+    assert sorted(journal["go"]) == ["year=2022/month=10", "year=2022/month=9"] and list(journal["come"]) == ["year=2022/month=9"]
+    write_months(make_trips(september(30)), path, mode="append")
+    assert held(spark, path) == sorted([*NEW, (9, 30)])
+    with pytest.raises(OSError, match="not finished"):
+        swap.publish(spark, path, "_staged-x")
+    swap.settle(spark, path)
+    assert held(spark, path) == sorted([*NEW, (9, 30)])
+    assert not [p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("_staged")]
+
+
+def test_a_failed_write_changes_nothing(spark, old, tmp_path, make_trips):
+    path = str(tmp_path / "t")
+    write_months(old, path)
+    with pytest.raises(Exception, match="outside the months"):
+        replace_months(make_trips(september(5), october(6)), path, months=[(2022, 9)])
+    assert held(spark, path) == OLD
+    assert not [p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("_staged")]
+
+
+def test_every_month_can_end_up_empty(spark, old, tmp_path):
+    path = str(tmp_path / "t")
+    write_months(old, path)
+    replace_months(old.limit(0), path, months=[(2022, m) for m in (9, 10, 11, 12)])
+    assert read_months(spark, path).count() == 0
+    replace_months(old, path)
+    assert held(spark, path) == OLD
+
+
+@pytest.mark.parametrize("kind", [".zip", ".csv"])
+def test_a_month_whose_file_is_empty_now_ends_up_empty(spark, tmp_path, kind):
+    files, raw = tmp_path / "files", str(tmp_path / "raw")
+    files.mkdir()
+    month(files, "202209", ["2022-09-14", "2022-09-15"], kind)
+    month(files, "202210", ["2022-10-01"], kind)
+    assert plans.ingest_months(spark, str(files), 2022, [9, 10], raw, kind).isEmpty()
+    month(files, "202209", [], kind)  # a header and nothing else
+    gaps = plans.ingest_months(spark, str(files), 2022, [9, 10], raw, kind)
+    assert list(map(tuple, gaps.collect())) == [(2022, 9)]
+    assert [r.month for r in read_months(spark, raw).select("month").collect()] == [10]
+    # a month without any file stays as it is
+    assert plans.ingest_months(spark, str(files), 2022, [11], raw, kind).count() == 1
+    assert read_months(spark, raw).count() == 1 and set(TRIP_COLUMNS) < set(read_months(spark, raw).columns)
+
+
+def test_jobs_read_what_was_published(spark, tmp_path, monkeypatch):
+    files, raw, done = tmp_path / "files", str(tmp_path / "raw"), str(tmp_path / "done")
+    files.mkdir()
+    month(files, "202209", ["2022-09-14"] * 2, ".csv")
+    plans.ingest_months(spark, str(files), 2022, [9], raw, ".csv")
+    weather = str(tmp_path / "weather")
+    spark.createDataFrame([("2022-09-14", "rain", 20.0)], "datetime string, icon string, tempmax double").write.parquet(weather)
+    month(files, "202209", ["2022-09-14"] * 5, ".csv")
+    with monkeypatch.context() as lost:
+        lost.setattr(swap, "settle", lambda *args: None)
+        plans.ingest_months(spark, str(files), 2022, [9], raw, ".csv")
+        assert spark.read.parquet(raw).count() == 2  # plain readers still see the old months
+        plans.enrich_months(spark, raw, weather, done, 2022, [9], replace=True)
+        assert plans.report_days(spark, done, n=1).count() == 2
+        assert read_months(spark, done, None).count() == 5
+        plans.join_months(spark, raw, weather, str(tmp_path / "joined"))
+    assert spark.read.parquet(str(tmp_path / "joined")).count() == 5

@@ -13,8 +13,9 @@ from ..sinks import append_months, replace_months, write_parquet
 from ..sources import (
     file_month,
     month_files,
+    months_with_files,
+    read_months,
     read_trips_csv,
-    read_trips_parquet,
     read_trips_zip,
     read_weather,
 )
@@ -39,21 +40,17 @@ def _monthly_files(
     ending: str,
     null_words: Iterable[str],
     multi_line: bool,
-) -> DataFrame | None:
-    """Text trips with the year and month of their file; None if no asked month has a file."""
-    if not months:
-        return None
-    pattern = month_files(folder, year, months, ending)
-    try:
-        if ending.endswith(".zip"):
-            found = read_trips_zip(spark, pattern, null_words)
-        else:
-            found = read_trips_csv(spark, pattern, null_words, multi_line, with_source=True)
-    except AnalysisException as failure:
-        if failure.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return file_month(found)
+) -> tuple[DataFrame | None, list[int]]:
+    """Text trips with the year and month of their file, and the asked months that have one."""
+    held = months_with_files(spark, folder, year, months, ending)
+    if not held:
+        return None, []
+    pattern = month_files(folder, year, held, ending)
+    if ending.endswith(".zip"):
+        found = read_trips_zip(spark, pattern, null_words)
+    else:
+        found = read_trips_csv(spark, pattern, null_words, multi_line, with_source=True)
+    return file_month(found), held
 
 
 def _gaps(spark: SparkSession, target: str, year: int | str, months: list[int]) -> DataFrame:
@@ -64,7 +61,7 @@ def _gaps(spark: SparkSession, target: str, year: int | str, months: list[int])
     asked = months_between(spark, f"{year}-{months[0]:02d}", f"{year}-{months[-1]:02d}")
     wanted = month_select(asked, year, months)
     try:
-        held = month_select(read_trips_parquet(spark, target), year, months)
+        held = month_select(read_months(spark, target), year, months)
         lacking = month_coverage(held, wanted).collect()
     except AnalysisException as failure:
         if failure.getCondition() != "PATH_NOT_FOUND":
@@ -88,15 +85,16 @@ def ingest_months(
     """Monthly files named ``yyyymm-...`` to the raw table; returns the months it still lacks.
 
     Partitions follow the file's month, so a trip that strays over midnight stays
-    with its file, and running a month again replaces that month and no other.
-    Months without a file are left as they are.  An archive is unpacked by one task;
+    with its file, and running a month again replaces that month and no other: one whose files
+    hold no trips any more ends up empty, and is a gap.  Months without a file are left as
+    they are.  An archive is unpacked by one task;
     with ``rebalance`` a large one is at least written by many.
     """
     numbers = _numbers(months)
-    found = _monthly_files(spark, folder, year, numbers, ending, null_words, multi_line)
+    found, held = _monthly_files(spark, folder, year, numbers, ending, null_words, multi_line)
     if found is not None:
         trips = ingest_trips(found, null_text, keep=("year", "month"))
-        replace_months(trips, target, rebalance=rebalance)
+        replace_months(trips, target, rebalance=rebalance, months=[(int(year), m) for m in held])
     return _gaps(spark, target, year, numbers)
 
 
@@ -143,7 +141,7 @@ def enrich_months(
     ``options`` are those of ``enrich_trips``.
     """
     numbers = _numbers(months)
-    chosen = _reserved(month_select(read_trips_parquet(spark, raw), year, numbers))
+    chosen = _reserved(month_select(read_months(spark, raw), year, numbers))
     done = _with_partitions(enrich_trips(chosen, read_weather(spark, weather), **options))
     _store(done, target, year, numbers, replace, rebalance)
 
@@ -164,10 +162,11 @@ def ingest_and_enrich_months(
 ) -> DataFrame:
     """Monthly files to finished trips in one pass; returns the months still lacking.
 
+    With ``replace``, months that have a file are replaced, the others left as they are.
     ``options`` are those of ``ingest_and_enrich``.
     """
     numbers = _numbers(months)
-    found = _monthly_files(spark, folder, year, numbers, ending, null_words, multi_line)
+    found, held = _monthly_files(spark, folder, year, numbers, ending, null_words, multi_line)
     if found is not None:
         done = ingest_and_enrich(
             _reserved(found),
@@ -175,19 +174,19 @@ def ingest_and_enrich_months(
             keep=(_FILE_YEAR, _FILE_MONTH),
             **options,
         )
-        _store(_with_partitions(done), target, year, numbers, replace, rebalance)
+        _store(_with_partitions(done), target, year, held, replace, rebalance)
     return _gaps(spark, target, year, numbers)
 
 
 def join_months(
-    spark: SparkSession, raw: str, weather: str, target: str, salt: int = 1
+    spark: SparkSession, raw: str, weather: str, target: str, salt: int | None = None
 ) -> None:
     """All raw trips with their weather, nothing measured, overwriting the target."""
-    trips = read_trips_parquet(spark, raw).select(*TRIP_COLUMNS)
+    trips = read_months(spark, raw).select(*TRIP_COLUMNS)
     joined = join_only(trips, read_weather(spark, weather), salt=salt)
     write_parquet(joined, target, mode="overwrite")
 
 
 def report_days(spark: SparkSession, enriched: str, n: int = 10) -> DataFrame:
     """The n best and the n worst days of the enriched table."""
-    return both_ends(weather_daily_avg(spark.read.parquet(enriched)), n)
+    return both_ends(weather_daily_avg(read_months(spark, enriched, schema=None)), n)

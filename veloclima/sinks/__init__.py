@@ -15,9 +15,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from .. import swap
 from ..operators.months import with_month
 
 # --- fixed value: rows per appended chunk ---
@@ -56,6 +57,7 @@ def write_months(
 
 def append_months(df: DataFrame, path: str, **options) -> None:
     """Add the rows.  Appending the same month twice stores it twice."""
+    swap.settle(df.sparkSession, path)
     write_months(df, path, mode="append", **options)
 
 
@@ -67,34 +69,33 @@ def replace_months(
     rebalance: bool = False,
     months: Iterable[tuple[int, int]] | None = None,
 ) -> None:
-    """Replace months; a re-run changes nothing.
+    """Replace months, all at once; a re-run changes nothing.
 
     With ``months``, exactly these (year, month) are replaced: one without rows ends up
     empty, and a row of any other month is an error before anything is replaced.  Without,
-    the months present in ``df`` are.
+    the months present in ``df`` are.  A job that is lost on the way leaves either the old
+    months or the new ones, see ``swap``.
     """
-    if months is None:
-        writer = _by_month(df, stamp, "overwrite", rows_per_file, rebalance)
-        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
-        return
-    asked = sorted({(int(y), int(m)) for y, m in months})
-    df = with_month(df, stamp)
-    own = [(F.col("year") == y) & (F.col("month") == m) for y, m in asked]
-    known = F.lit(False)
-    for test in own:
-        known = known | test
-    complaint = F.concat_ws("-", F.lit("a row outside the months to replace:"), "year", "month")
-    df = df.withColumn("year", F.when(known, F.col("year")).otherwise(F.raise_error(complaint)))
-    seen = Observation()
-    counts = [F.count_if(test).alias(f"m{k}") for k, test in enumerate(own)]
-    watched = df.observe(seen, F.count(F.lit(1)).alias("n"), *counts)
-    writer = _by_month(watched, stamp, "overwrite", rows_per_file, rebalance)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
     spark = df.sparkSession
-    for k, (year, month) in enumerate(asked):
-        if not seen.get[f"m{k}"]:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/year={year}/month={month}")
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    swap.settle(spark, path)
+    df = with_month(df, stamp)
+    emptied: list[str] = []
+    if months is not None:
+        asked = sorted({(int(y), int(m)) for y, m in months})
+        emptied = [f"year={y}/month={m}" for y, m in asked]
+        known = F.lit(False)
+        for y, m in asked:
+            known = known | ((F.col("year") == y) & (F.col("month") == m))
+        complaint = F.concat_ws("-", F.lit("a row outside the months to replace:"), "year", "month")
+        df = df.withColumn("year", F.when(known, F.col("year")).otherwise(F.raise_error(complaint)))
+    staged = swap.stage_name()
+    try:
+        _by_month(df, stamp, "errorifexists", rows_per_file, rebalance).parquet(f"{path}/{staged}")
+    except Exception:
+        swap.Folder(spark, path).delete(staged)
+        raise
+    swap.publish(spark, path, staged, emptied)
+    swap.settle(spark, path)
 
 
 def write_parquet(

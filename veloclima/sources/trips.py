@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
 from collections.abc import Iterable, Iterator, Sequence
-from contextlib import contextmanager
-from urllib.parse import urlsplit
+from functools import reduce
 
 import pyarrow as pa
-import pyarrow.csv as pacsv
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import swap
 from ..schema import TRIP_COLUMNS, TRIPS, TRIPS_TEXT
+from .archives import LAYOUT, Opener, first_member_rows, opened, read_archives
 
 
 # --- fixed values: what pandas takes for missing unless told otherwise ---------------
@@ -86,120 +83,43 @@ def _without_words(df: DataFrame, words: Iterable[str]) -> DataFrame:
 
 # --- zipped CSV -----------------------------------------------------------------
 
-_BLOCK_BYTES = 8 << 20
-
-
-def _first_member_rows(archive, name: str) -> Iterator[pa.RecordBatch]:
-    """Trip rows of an archive's first member, a block at a time; later members are ignored.
-
-    The archive is read in place: neither it nor its content is copied whole.  Quoted line
-    breaks are read at any size.  As with CSV, the header must be the layout's.
-    """
-    with zipfile.ZipFile(archive) as box:
-        members = box.infolist()
-        if not members:
-            return
-        with box.open(members[0]) as member:
-            reader = pacsv.open_csv(
-                member,
-                read_options=pacsv.ReadOptions(block_size=_BLOCK_BYTES, use_threads=False),
-                parse_options=pacsv.ParseOptions(newlines_in_values=True),
-                convert_options=pacsv.ConvertOptions(
-                    column_types=dict.fromkeys(TRIP_COLUMNS, pa.string()),
-                    null_values=[""],
-                    strings_can_be_null=True,
-                ),
-            )
-            header = reader.schema.names
-            if [c.lower() for c in header] != list(TRIP_COLUMNS):
-                raise ValueError(f"{name}: the header is not that of trips: {header}")
-            yield from reader
-
-
-#: Stores that pyarrow opens itself.  Archives elsewhere come through Spark's own reader,
-#: which holds an archive whole and reads up to 2 GB.
-_ARROW_STORES = {"": "file", "file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "gs": "gs"}
-
-
-class _Raw(io.RawIOBase):
-    """A pyarrow file with the errors that ``zipfile`` expects when it looks before the start."""
-
-    def __init__(self, file: pa.NativeFile):
-        self._file = file
-
-    def readable(self) -> bool:
-        return True
-
-    def seekable(self) -> bool:
-        return True
-
-    def tell(self) -> int:
-        return self._file.tell()
-
-    def seek(self, offset: int, whence: int = 0) -> int:
-        start = (0, self._file.tell(), self._file.size())[whence]
-        if start + offset < 0:
-            raise OSError("before the start of the file")
-        return self._file.seek(start + offset)
-
-    def readinto(self, into) -> int:
-        return self._file.readinto(into)
-
-
-@contextmanager
-def _opened(path: str):
-    scheme = urlsplit(path).scheme
-    if not scheme:
-        path = f"file://{path}"
-    elif scheme == "file":
-        path = "file:///" + path.removeprefix("file:").lstrip("/")
-    else:
-        path = _ARROW_STORES[scheme] + path[len(scheme) :]
-    files, inside = pafs.FileSystem.from_uri(path)
-    with files.open_input_file(inside) as archive:
-        yield io.BufferedReader(_Raw(archive), 1 << 20)
-
 
 def _unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["source", *TRIP_COLUMNS]
     for batch in batches:
         for k in range(batch.num_rows):
             path = batch.column(0)[k].as_py()
             if batch.num_columns > 1:
-                blocks = _first_member_rows(pa.BufferReader(batch.column(1)[k].as_buffer()), path)
-                yield from (_named(rows, path, names) for rows in blocks)
+                yield from first_member_rows(pa.BufferReader(batch.column(1)[k].as_buffer()), path)
                 continue
-            with _opened(path) as archive:
-                yield from (_named(rows, path, names) for rows in _first_member_rows(archive, path))
-
-
-def _named(rows: pa.RecordBatch, path: str, names: list[str]) -> pa.RecordBatch:
-    source = pa.array([path] * rows.num_rows, pa.string())
-    return pa.RecordBatch.from_arrays([source, *rows.columns], names)
+            with opened(path) as archive:
+                yield from first_member_rows(archive, path)
 
 
 def trips_from_archives(archives: DataFrame, null_words: Iterable[str] = ()) -> DataFrame:
     """Unpack (path) or (path, content) rows to text trips plus ``source``, the archive's path.
 
-    Deflate cannot be split, so one archive is one task's work; archives run in
-    parallel and their rows leave the task in blocks.  With ``path`` alone the task opens
-    the archive where it lies and holds one block of it.
+    For archives that are already a table; ``read_trips_zip`` finds and deals them itself.
+    With ``path`` alone the task opens the archive where it lies and holds one block of it.
     """
-    schema = T.StructType([T.StructField("source", T.StringType()), *TRIPS_TEXT.fields])
     columns = [c for c in ("path", "content") if c in archives.columns]
-    return _without_words(archives.select(*columns).mapInArrow(_unzip, schema), null_words)
+    return _without_words(archives.select(*columns).mapInArrow(_unzip, LAYOUT), null_words)
 
 
 def read_trips_zip(
-    spark: SparkSession, paths: str | Sequence[str], null_words: Iterable[str] = ()
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    null_words: Iterable[str] = (),
+    opener: Opener | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Monthly ZIP archives, first member only."""
+    """Monthly ZIP archives, first member only, as text trips plus ``source``.
+
+    An archive is one task's work; archives are dealt to tasks by their size, see
+    ``archives``.  ``opener`` opens stores that pyarrow does not open by itself, or opens
+    them with credentials of one's own.
+    """
     given = [paths] if isinstance(paths, str) else list(paths)
-    found = spark.read.format("binaryFile").load(given)
-    if all(urlsplit(p).scheme in _ARROW_STORES for p in given):
-        # one archive per task: the paths are few bytes, what they name is not
-        found = found.select("path").repartition(max(1, len(found.inputFiles())), "path")
-    return trips_from_archives(found, null_words)
+    return _without_words(read_archives(spark, given, opener, tasks), null_words)
 
 
 # --- Parquet and tables -----------------------------------------------------------
@@ -208,24 +128,83 @@ def read_trips_zip(
 def read_trips_parquet(
     spark: SparkSession,
     paths: str | Sequence[str],
-    schema: T.StructType = TRIPS,
+    schema: T.StructType | None = TRIPS,
     with_source: bool = False,
     base_path: str | None = None,
 ) -> DataFrame:
     """One path, several, or a wildcard.
 
-    ``with_source`` adds the file each row came from.  A wildcard into
+    Without a ``schema`` the files say theirs.  ``with_source`` adds the file each row came from.  A wildcard into
     ``year=/month=`` folders loses those two columns unless ``base_path`` says
     where the table starts.
     """
     given = [paths] if isinstance(paths, str) else list(paths)
-    reader = spark.read.schema(schema)
+    reader = spark.read.schema(schema) if schema else spark.read
     if base_path:
         reader = reader.option("basePath", base_path)
     df = reader.parquet(*given)
     return df.withColumn("source", F.col("_metadata.file_path")) if with_source else df
 
 
+_V1, _PUSHDOWN = "spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown"
+
+
+def read_for_counts(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    schema: T.StructType | None = TRIPS,
+    base_path: str | None = None,
+) -> DataFrame:
+    """The same rows through Spark's newer Parquet reader, which counts from file footers.
+
+    Counts of all rows, also by all partition columns and of chosen partitions, then read no
+    column at all and handle one row per file instead of one per trip.  Anything else reads
+    as usual.  Sets ``spark.sql.parquet.aggregatePushdown``, which no other reader looks at.
+    """
+    before = spark.conf.get(_V1)
+    spark.conf.set(_V1, ",".join(name for name in before.split(",") if name.strip().lower() != "parquet"))
+    try:
+        df = read_trips_parquet(spark, paths, schema, base_path=base_path)
+    finally:
+        spark.conf.set(_V1, before)
+    spark.conf.set(_PUSHDOWN, "true")
+    return df
+
+
+def read_table_for_counts(spark: SparkSession, name: str) -> DataFrame:
+    """A catalog table for counting: from footers where it is Parquet in one folder."""
+    told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    if told.get("Provider", "").lower() != "parquet" or "Location" not in told or "# Partition Information" in told:
+        return spark.table(name)
+    return read_for_counts(spark, told["Location"], spark.table(name).schema)
+
+
+def read_months(spark: SparkSession, path: str, schema: T.StructType | None = TRIPS) -> DataFrame:
+    """A table of months, whole or as a replacement that was cut off leaves it.
+
+    Once ``sinks.replace_months`` has published new months, they are what is read, also
+    where their files were not moved in yet.  Nothing is written.
+    """
+    pending = swap.current_files(spark, path)
+    if pending is None:
+        return read_trips_parquet(spark, path, schema)
+    placed, staged, waiting = pending
+    tables = [read_trips_parquet(spark, p, schema, base_path=root) for p, root in ((placed, path), (waiting, staged)) if p]
+    if not tables:
+        return read_trips_parquet(spark, path, schema)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
+def months_with_files(spark: SparkSession, folder: str, year: int | str, months: Iterable[int | str], ending: str) -> list[int]:
+    """The months, of those asked for, that have a file named ``yyyymm-...``."""
+    asked = sorted({int(m) for m in months})
+    if not asked:
+        return []
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(month_files(folder, year, asked, ending))
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    return sorted({int(s.getPath().getName()[4:6]) for s in found})
+
+
 def timestamps_from_nanos(
     df: DataFrame, columns: Sequence[str] = ("started_at", "ended_at")
 ) -> DataFrame:
