@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
+from veloclima import plans
 from veloclima.operators import (
     add_date_key,
     column_overlap,
+    hot_days,
     join_weather,
     rename_weather_key,
     weather_date_text,
@@ -125,3 +127,59 @@ def test_a_moment_as_key_counts_for_a_stated_zone(spark, conf, make_trips, zone)
     assert join_weather(trips, at_midnight, zone="America/Chicago").count() == 0
     assert weather_date_text(at_midnight).first().date == "2022-09-14"
     assert weather_date_text(at_midnight, "America/Chicago").first().date == "2022-09-13"
+
+
+@pytest.fixture
+def uneven(spark, make_trips):
+    """Nine tenths of the trips on one day, the others over nine more."""
+    day = F.when(F.col("id") % 10 != 0, 0).otherwise(F.col("id") / 10 % 9 + 1).cast("int")
+    return (
+        make_trips({})
+        .drop("ride_id", "started_at")
+        .join(spark.range(0, 2000, 1, 4))
+        .withColumn("ride_id", F.col("id").cast("string"))
+        .withColumn("date", F.date_add(F.lit("2022-09-14").cast("date"), day))
+        .drop("id")
+    )
+
+
+def test_hot_days_are_those_with_more_than_their_share(spark, uneven, conf):
+    conf("spark.sql.shuffle.partitions", "16")
+    days, tasks = hot_days(uneven)
+    assert [str(d) for d in days] == ["2022-09-14"] and tasks == 15
+    assert hot_days(uneven.where("date > '2022-09-14'"), tasks=4) == ([], 1)
+    assert hot_days(uneven.limit(0)) == ([], 1)
+    assert hot_days(uneven.withColumn("date", F.lit(None).cast("date"))) == ([], 1)
+
+
+def test_salt_from_the_data(spark, uneven, weather, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "16")
+    doubled = weather.union(weather.limit(1))
+    plain, salted = (join_weather(uneven, doubled, salt=s).withColumn("_task", F.spark_partition_id()) for s in (1, None))
+    plan = plan_of(salted)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan and "_salt" in plan and "_salt" not in plan_of(plain)
+    assert sorted(map(str, plain.drop("_task").collect())) == sorted(map(str, salted.drop("_task").collect()))
+    tasks = lambda df, icon: df.where(F.col("icon") == icon).select("_task").distinct().count()
+    assert tasks(plain, "rain") == 1 and tasks(salted, "rain") > 8
+    assert tasks(salted, "snow") == 1  # a day like others stays in one piece
+
+
+def test_salt_is_not_looked_for_where_the_weather_is_shipped(spark, trips, weather, tmp_path, monkeypatch):
+    path = str(tmp_path / "weather")
+    weather.write.parquet(path)
+    from veloclima.operators import weather as module
+
+    monkeypatch.setattr(module, "hot_days", lambda *args: pytest.fail("trips were counted"))
+    plan = plan_of(join_weather(trips, read_weather(spark, path), salt=None), run=True)
+    assert "BroadcastHashJoin" in plan and "_salt#" not in plan
+
+
+def test_jobs_look_for_hot_days(spark, uneven, weather, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "16")
+    stamped = uneven.withColumn("started_at", F.col("date").cast("timestamp_ntz")).drop("date")
+    for joined in (plans.join_only(stamped, weather), plans.enrich_trips(stamped.withColumn("ended_at", F.col("started_at")), weather)):
+        assert "_salt" in plan_of(joined)

@@ -26,7 +26,7 @@ from .shape import (
     project_trips,
     select_all_limit,
 )
-from .weather import column_overlap, join_weather, rename_weather_key, weather_date_text
+from .weather import column_overlap, hot_days, join_weather, rename_weather_key, weather_date_text
 
 __all__ = [
     "add_cost",
@@ -43,6 +43,7 @@ __all__ = [
     "date_as_text",
     "drop_index_col",
     "drop_na_any",
+    "hot_days",
     "join_weather",
     "limit_rows",
     "month_coverage",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (
@@ -16,6 +16,7 @@ from ..functions import (
     round_half_even,
 )
 from ..functions.fares import Fare
+from .weather import broadcast_bytes
 
 
 def add_distance(df: DataFrame) -> DataFrame:
@@ -60,7 +61,7 @@ def add_cost(
     )
     texts = F.octet_length("rideable_type") + F.octet_length("member_casual")
     size = tariff.agg(F.sum(F.coalesce(texts, F.lit(0)) + 64)).first()[0] or 0
-    if size <= _broadcast_bytes(df.sparkSession):
+    if size <= broadcast_bytes(df.sparkSession):
         joined = df.join(F.broadcast(fares), key, "left")
     else:
         bucket = F.pmod(F.xxhash64(salt_on), F.lit(salt)).cast("int")
@@ -72,14 +73,6 @@ def add_cost(
     return joined.withColumn("cost", round_half_even(price, 3)).drop("_base", "_rate")
 
 
-def _broadcast_bytes(spark: SparkSession) -> int:
-    """The session's broadcast threshold; -1 where broadcasts are off."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    if text.startswith("-"):
-        return -1
-    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
-
-
 def add_date_key(df: DataFrame, stamp: str = "started_at", as_text: bool = False) -> DataFrame:
     """``date``: the calendar day of ``stamp``; text on request, for output."""
     day = calendar_day(stamp)

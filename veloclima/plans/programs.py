@@ -52,7 +52,7 @@ def enrich_trips(
     tariff: Sequence[Fare] | DataFrame = DEFAULT_TARIFF,
     cost_basis: str = "distance",
     collision: str = "suffix",
-    salt: int = 1,
+    salt: int | None = None,
 ) -> DataFrame:
     """Ingested trips to complete trips with distance, time, cost and weather."""
     measured = _measured(drop_na_any(trips), tariff, cost_basis)
@@ -67,7 +67,7 @@ def ingest_and_enrich(
     cost_basis: str = "distance",
     null_text: str | None = "nan",
     collision: str = "suffix",
-    salt: int = 1,
+    salt: int | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Both steps over text trips in one pass, incomplete rows dropped first.
@@ -84,7 +84,7 @@ def ingest_and_enrich(
 
 
 def join_only(
-    trips: DataFrame, weather: DataFrame, collision: str = "suffix", salt: int = 1
+    trips: DataFrame, weather: DataFrame, collision: str = "suffix", salt: int | None = None
 ) -> DataFrame:
     """Trips with the day's weather: nothing dropped for NULLs, nothing measured."""
     joined = join_weather(add_date_key(trips), weather, collision=collision, salt=salt)
