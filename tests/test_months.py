@@ -2,18 +2,20 @@ import datetime as dt
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import plan_of
 from veloclima.functions import month_runs
 from veloclima.operators import (
     count_by_month,
+    count_table,
     month_coverage,
     month_select,
     months_between,
     multi_month_union,
 )
-from veloclima.sinks import write_months
-from veloclima.sources import read_trips_parquet
+from veloclima.sinks import write_months, write_table
+from veloclima.sources import read_for_counts, read_table_for_counts, read_trips_parquet
 
 
 @pytest.fixture
@@ -93,3 +95,38 @@ def test_coverage_looks_at_the_expected_years_only(spark, trips, tmp_path):
     write_months(trips, stored)
     plan = plan_of(month_coverage(spark.read.parquet(stored), months_between(spark, "2022-01", "2022-12")))
     assert re.search(r"PartitionFilters: \[[^\]]*year", plan)
+
+
+def test_counts_come_from_footers(spark, trips, tmp_path, conf):
+    """No column is read where all rows of files are counted, and the same is counted."""
+    conf("spark.sql.maxMetadataStringLength", "5000")
+    path = str(tmp_path / "by-month")
+    write_months(trips, path)
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    stored, plain = read_for_counts(spark, path), read_trips_parquet(spark, path)
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    for counted in (count_by_month, count_table):
+        df = counted(stored)
+        plan = plan_of(df)
+        assert "PushedAggregation: [COUNT(*)]" in plan and "ReadSchema: struct<count(*):bigint" in plan.replace("struct<year:int,month:int,count", "struct<count")
+        assert "started_at" not in plan
+        assert sorted(map(str, df.collect())) == sorted(map(str, counted(plain).collect()))
+    wanted = months_between(spark, "2021-11", "2022-04")
+    df = month_coverage(stored, wanted)
+    assert "PushedAggregation: [COUNT(*)]" in plan_of(df)
+    assert sorted(map(tuple, df.collect())) == [(2021, 11), (2022, 4)]
+    # where rows are filtered, columns are read, and the rows still right
+    some = count_table(stored.where("started_at < timestamp_ntz '2022-01-01 00:00:00'"))
+    assert "PushedAggregation: [COUNT(*)]" not in plan_of(some) and some.first().n == 1
+
+
+def test_a_catalog_table_is_counted_from_footers(spark, trips, tmp_path):
+    write_table(trips, "t_footers", path=str(tmp_path / "a"))
+    df = count_table(read_table_for_counts(spark, "t_footers"))
+    assert "PushedAggregation: [COUNT(*)]" in plan_of(df) and df.first().n == 6
+    trips.withColumn("m", F.month("started_at")).write.partitionBy("m").saveAsTable("t_parts")
+    assert count_table(read_table_for_counts(spark, "t_parts")).first().n == 6
+    trips.write.format("orc").saveAsTable("t_orc")
+    assert count_table(read_table_for_counts(spark, "t_orc")).first().n == 6
+    for name in ("t_footers", "t_parts", "t_orc"):
+        spark.sql(f"DROP TABLE {name}")

@@ -161,19 +161,22 @@ def _stage_csv(spark: SparkSession, sf_dir: str, place: str) -> None:
 
 
 def _stage_zip(spark: SparkSession, sf_dir: str, place: str) -> None:
-    """Archives ``yyyymm-part.csv.zip``, each packed and written by its task.
+    """Archives ``yyyymm-piece-part.csv.zip``, each packed and written by its task.
 
     Every 50th trip lies in the next month's file, and every 19th has a line break in the
-    name of its last station.  Member times are fixed, so a repeated task writes the same
-    bytes.
+    name of its last station.  A month comes in 16 pieces, the largest 31 times the
+    smallest.  April's archive holds a header and no trip.  Member times are fixed, so a
+    repeated task writes the same bytes.
     """
     i = F.col("ride_id").cast("long")
+    piece = F.floor(F.sqrt((i % 256).cast("double"))).cast("int")
     broken = F.when(i % 19 == 0, F.concat(F.col("end_station_name"), F.lit("\nside"))).otherwise(F.col("end_station_name"))
     (
         stored_trips(spark, sf_dir)
         .withColumn("end_station_name", broken)
         .withColumn("stem", F.when(i % 50 == 0, "202402").otherwise("202401"))
-        .write.partitionBy("stem")
+        .withColumn("piece", piece)
+        .write.partitionBy("stem", "piece")
         .option("header", True)
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         .option("maxRecordsPerFile", 500_000)
@@ -183,22 +186,27 @@ def _stage_zip(spark: SparkSession, sf_dir: str, place: str) -> None:
     files, folder = pafs.FileSystem.from_uri(place)
     files.create_dir(folder, recursive=True)
 
+    def zipped(name: str, content: bytes) -> bytes:
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as box:
+            box.writestr(zipfile.ZipInfo(name, (2024, 1, 1, 0, 0, 0)), content)
+            box.writestr(zipfile.ZipInfo("notes.csv", (2024, 1, 1, 0, 0, 0)), "not,trips\n")
+        return out.getvalue()
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target, root = pafs.FileSystem.from_uri(place)
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1), strict=True):
-                folder_name, name = path.as_py().split("/")[-2:]
-                name = f"{folder_name.split('=')[1]}-{name}"
-                packed = io.BytesIO()
-                with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as box:
-                    box.writestr(zipfile.ZipInfo(name, (2024, 1, 1, 0, 0, 0)), content.as_py())
-                    box.writestr(zipfile.ZipInfo("notes.csv", (2024, 1, 1, 0, 0, 0)), "not,trips\n")
+                stem, number, name = path.as_py().split("/")[-3:]
+                name = f"{stem.split('=')[1]}-{number.split('=')[1]}-{name}"
                 with target.open_output_stream(f"{root}/{name}.zip") as out:
-                    out.write(packed.getvalue())
+                    out.write(zipped(name, content.as_py()))
                 yield pa.RecordBatch.from_arrays([pa.array([name])], ["name"])
 
-    csv_files = spark.read.format("binaryFile").load(place.removesuffix("zip") + "csv/stem=*/*.csv")
+    csv_files = spark.read.format("binaryFile").load(place.removesuffix("zip") + "csv/stem=*/piece=*/*.csv")
     csv_files.select("path", "content").mapInArrow(pack, "name string").count()
+    with files.open_output_stream(f"{folder}/202404-none.csv.zip") as out:
+        out.write(zipped("202404-none.csv", ",".join(TRIP_COLUMNS).encode() + b"\n"))
 
 
 def _stage_raw(spark: SparkSession, sf_dir: str, place: str) -> None:

@@ -399,7 +399,8 @@ def oracle() -> dict[str, str]:
         "multi_month_union": with_(long, f"SELECT {listed(YEAR_MONTH)} FROM trips"),
         "pipe_ingest": with_(
             [*archived(), ("ingested", NAN)],
-            f"SELECT {listed(FILE_MONTH)}, '2024-3' AS gap FROM ingested",
+            f"SELECT {listed(FILE_MONTH)}, NULL AS gap FROM ingested UNION ALL BY NAME"
+            " SELECT unnest(['2024-3', '2024-4']) AS gap",
         ),
         "pipe_enrich": with_(done, finished),
         "pipe_combined": with_(

@@ -55,7 +55,9 @@ def months_between(spark: SparkSession, first: str, last: str) -> DataFrame:
 
 
 def months_present(df: DataFrame, stamp: str = "started_at") -> DataFrame:
-    return with_month(df, stamp).select("year", "month").distinct()
+    """(year, month) that have trips: counted, since counts may come from file footers."""
+    counts = with_month(df, stamp).groupBy("year", "month").agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where("_n > 0").select("year", "month")
 
 
 def month_coverage(df: DataFrame, expected: DataFrame, stamp: str = "started_at") -> DataFrame:
