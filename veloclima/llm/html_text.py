@@ -16,6 +16,8 @@ joined by line breaks in page order.  What browsers read as raw text (scripts, s
 on), templates, selections and sources of formulas are no text; formulas and drawings are part
 of the line they stand in.  Nothing else is dropped or cut.
 
+A page is read in time linear in its length, however broken its markup is.
+
 Defined results: a null or empty page has an empty text; unclosed and stray tags are taken
 as browsers take them, roughly; without any page to learn from, the layouts alone are the
 training data (filled with stand-in sentences); repeated pages each get their row.  Input
@@ -28,6 +30,7 @@ import html
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -70,13 +73,9 @@ INSIDE = frozenset("article body content entry main post story text page prose".
 # -------------------------------------------------------------------------------------------
 _TALK = frozenset(["comment", "comments", "discussion", "disqus", "replies", "reply", "respond"])
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"
-    r"|<[!?/][^>]*(?:>|\Z)",
-    re.S,
-)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_STOP = re.compile("[>\"']")
+_MARKUP = re.compile("<[!?/]")
 _NAMED = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -102,15 +101,105 @@ class Node:
             self.tokens = frozenset(words)
 
 
+class Tokens:
+    """The markup of a page, from left to right, in time linear in its length.
+
+    ``next(at)`` gives (start, end, closing, tag, attributes) of the next piece of markup; tag is None for
+    comments and the like.  A ``<`` that begins nothing is text.  Attributes end at the first
+    ``>`` outside quotes.  Where a quote is never closed, quotes count no longer from there on, and a
+    tag ends at the first ``>``; behind the last ``>`` no tag can end, which is known beforehand.
+    Nothing is searched for twice: what is not found is not there later either.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.quotes = {q: page.rfind(q) for q in "\"'"}
+        self.quoted, self.absent = True, set()
+
+    def next(self, at: int):
+        page = self.page
+        while True:
+            start = page.find("<", at)
+            if start < 0 or start > self.last:
+                rest = _MARKUP.search(page, start) if start >= 0 else None
+                return (rest.start(), len(page), "", None, "") if rest else None
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                return start, end + 3 if end >= 0 else len(page), "", None, ""
+            closing = "/" if page.startswith("/", start + 1) else ""
+            name = _NAME.match(page, start + 1 + len(closing))
+            if name:
+                end = self._end(name.end())
+                return start, end + 1, closing, name[0].lower(), page[name.end() : end]
+            if page[start + 1] in "!?/":
+                end = page.find(">", start + 2)
+                return start, end + 1 if end >= 0 else len(page), "", None, ""
+            at = start + 1
+
+    def _end(self, at: int) -> int:
+        """Place of the ``>`` that ends a tag; there is one, ``at`` is not behind the last."""
+        first = here = at
+        while self.quoted:
+            stop = _STOP.search(self.page, here)
+            if stop is None:
+                self.quoted = False
+            elif stop[0] == ">":
+                return stop.start()
+            elif self.quotes[stop[0]] <= stop.start():
+                break  # never closed, and known without a search
+            else:
+                here = self.page.find(stop[0], stop.end()) + 1
+                self.quoted = here <= self.last
+        return self.page.find(">", first)
+
+    def after(self, pattern: str, at: int) -> re.Match | None:
+        """The next match from ``at`` on; a pattern that is not found is not looked for again."""
+        if pattern in self.absent:
+            return None
+        found = re.compile(pattern, re.I).search(self.page, at)
+        if found is None:
+            self.absent.add(pattern)
+        return found
+
+
+class Open:
+    """The elements that are open, with the places of each name in the stack."""
+
+    def __init__(self):
+        self.nodes: list[int] = []
+        self.names: list[str] = []
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, node: int, name: str) -> None:
+        self.places.setdefault(name, []).append(len(self.nodes))
+        self.nodes.append(node)
+        self.names.append(name)
+
+    def close_from(self, place: int) -> None:
+        while len(self.nodes) > place:
+            self.nodes.pop()
+            self.places[self.names.pop()].pop()
+
+    def last(self, names) -> int:
+        """The highest place of one of the names, 0 if none is open below the body."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+
+
+#: Of each tag in CLOSED_BY, the elements beyond which it closes nothing.
+_BARRIERS = {tag: frozenset(["ul", "ol", "table", "dl", "tr"]) - closed - {tag} for tag, closed in CLOSED_BY.items()}
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """Elements that are not inline, and (element, text) of the text runs in page order.
 
     A text run ends where a block begins or ends; what stands in it has its references
-    decoded and its white space made single.
+    decoded and its white space made single.  Takes time linear in the page's length.
     """
     nodes = [Node("html", -1, 0, ""), Node("body", 0, 1, "")]
     nodes[0].children.append(1)
-    open_nodes, inline = [0, 1], []
+    opened, inline = Open(), Counter()
+    opened.push(0, "html")
+    opened.push(1, "body")
     runs: list[tuple[int, str]] = []
     pending: list[str] = []
     linked = [0]
@@ -119,91 +208,87 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         text = " ".join(html.unescape("".join(pending)).split()) if pending else ""
         pending.clear()
         if text:
-            runs.append((open_nodes[-1], text))
-            own = nodes[open_nodes[-1]]
+            runs.append((opened.nodes[-1], text))
+            own = nodes[opened.nodes[-1]]
             own.chars += len(text)
             own.link_chars += min(len(text), linked[0])
             own.stops += text.count(".") + text.count(",") + text.count("?") + text.count("!")
         linked[0] = 0
 
+    tokens = Tokens(page)
     at, n = 0, len(page)
     while at < n:
-        m = _TOKEN.search(page, at)
-        if m is None:
+        found = tokens.next(at)
+        if found is None:
             pending.append(page[at:])
             break
-        piece = page[at : m.start()]
-        at = m.end()
+        start, end, closing, tag, attributes = found
+        piece = page[at:start]
+        at = end
         if piece:
             pending.append(piece)
-            if "a" in inline:
+            if inline["a"]:
                 linked[0] += len(piece)
-        closing, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         if tag is None:
             continue
-        tag = tag.lower()
         if closing:
             if tag in INLINE:
-                if tag in inline:
-                    inline.remove(tag)
+                if inline[tag]:
+                    inline[tag] -= 1
                 continue
             flush()
             inline.clear()
-            for k in range(len(open_nodes) - 1, 1, -1):
-                if nodes[open_nodes[k]].tag == tag:
-                    del open_nodes[k:]
-                    break
+            place = opened.last([tag])
+            if place > 1:
+                opened.close_from(place)
             continue
         if tag in RAW:
             if tag != "head" and not attributes.endswith("/"):
-                end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                at = end.end() if end else at if tag in GOES_ON else n
+                stop = tokens.after(rf"</{tag}\s*>", at)
+                at = stop.end() if stop else at if tag in GOES_ON else n
             if tag == "head":
-                end = re.compile(r"</head\s*>|<body\b", re.I).search(page, at)
-                if end:
-                    at = end.start() if end[0].lower().startswith("<body") else end.end()
+                stop = tokens.after(r"</head\s*>|<body\b", at)
+                if stop:
+                    at = stop.start() if stop[0].lower().startswith("<body") else stop.end()
             pending.append(" ")
             continue
+        above = opened.nodes[-1]
         if tag in INLINE:
             if tag in FOREIGN:
                 continue
-            nodes[open_nodes[-1]].n_tags += 1
+            nodes[above].n_tags += 1
             if tag == "br":
                 pending.append(" ")
             elif tag == "a":
-                nodes[open_nodes[-1]].n_links += 1
+                nodes[above].n_links += 1
             if tag not in VOID:
-                if tag == "a" and "a" in inline:
-                    inline.remove("a")
-                inline.append(tag)
+                if tag == "a" and inline["a"]:
+                    inline["a"] -= 1
+                inline[tag] += 1
             continue
         flush()
         if tag in VOID:
-            nodes[open_nodes[-1]].n_inputs += tag == "input"
+            nodes[above].n_inputs += tag == "input"
             continue
         if tag in ("html", "body"):  # both are there from the start
             continue
         inline.clear()
-        if nodes[open_nodes[-1]].tag == "p" and tag not in FALLBACK:  # a block ends a paragraph
-            open_nodes.pop()
+        if opened.names[-1] == "p" and tag not in FALLBACK:  # a block ends a paragraph
+            opened.close_from(len(opened.nodes) - 1)
         if tag in CLOSED_BY:
-            for k in range(len(open_nodes) - 1, 1, -1):
-                name = nodes[open_nodes[k]].tag
-                if name in CLOSED_BY[tag]:
-                    del open_nodes[k:]
-                    break
-                if name in ("ul", "ol", "table", "dl", "tr") and name != tag:
-                    break
-        above = open_nodes[-1]
+            place = opened.last(CLOSED_BY[tag])
+            if place > opened.last(_BARRIERS[tag]):
+                opened.close_from(place)
+        above = opened.nodes[-1]
         node = Node(tag, above, nodes[above].depth + 1, attributes)
         nodes[above].children.append(len(nodes))
         node.n_tags = 1
         node.n_p = int(tag == "p")
         node.n_inputs = int(tag == "button")
-        open_nodes.append(len(nodes))
+        opened.push(len(nodes), tag)
         nodes.append(node)
         if attributes.endswith("/") and tag not in TAGS:
-            open_nodes.pop()
+            opened.close_from(len(opened.nodes) - 1)
     flush()
     for k in range(len(nodes) - 1, 0, -1):  # children follow their parents
         a, b = nodes[nodes[k].parent], nodes[k]
