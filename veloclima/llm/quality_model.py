@@ -9,11 +9,12 @@ the dictionaries, turns this into the chance of label 1.
 
 Labels are learned from a bounded sample: at most ``SAMPLE`` documents of each label, the
 least by a hash, half for the dictionaries (one piece each) and half for the curve, weighted
-to the shares of the labels.  Rows held out by ``is_held_out`` are never in it.  Nothing but
-the text enters a score.
+to the shares of the labels.  An id counts once, however many rows of either table it has, and with
+one text, the first by its hashes.  Rows held out by ``is_held_out`` are never in it.  Nothing but the
+text enters a score.
 
 Defined results: a null or empty text has difference 0 and ratio 1 and gets the score of
-that; labels that are null or neither 0 nor 1 are ignored; with one label only the score is
+that; labels that are null or neither 0 nor 1, and ids that are null or have both labels, are ignored; with one label only the score is
 that label's share, without labels 0.5; repeated rows score alike; an empty table gives an
 empty result.  Input columns named like a result column are replaced.
 """
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._tables import bounded_batches, texts_of
+from ._tables import bounded_batches, row_key, texts_of, twin_key
 
 SAMPLE = 3000
 PIECE = 1024
@@ -115,18 +116,34 @@ def _measure(dictionaries: tuple[bytes, bytes]):
     return measure
 
 
-def fit(documents: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality", sample: int = SAMPLE) -> Model:
+def labelled(labels: DataFrame, doc_id: str, label: str) -> DataFrame:
+    """(id, label, order) of each document that labels may be learned from; ids with both labels are left out."""
     seen = labels.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{label}`").cast("int").alias("label"))
-    seen = seen.where(F.col("label").isin(0, 1) & ~is_held_out(F.col("id"))).withColumn("order", F.xxhash64(F.lit("sample"), F.col("id")))
+    seen = seen.where(F.col("label").isin(0, 1) & F.col("id").isNotNull() & ~is_held_out(F.col("id")))
+    each = seen.groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other"))
+    return each.where("label = other").select("id", "label", F.xxhash64(F.lit("sample"), F.col("id")).alias("order"))
+
+
+def sampled_rows(documents: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str, sample: int):
+    """(counts of the labels, rows): at most ``sample`` rows (id, label, order, text) of each label."""
+    seen = labelled(labels, doc_id, label)
     counts = {r.label: r.n for r in seen.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    total = sum(counts.values())
-    if len(counts) < 2:
-        return Model(counts.get(1, 0) / total if total else 0.5)
     chosen = [seen.where(F.col("label") == k).orderBy("order", "id").limit(sample) for k in (0, 1)]
     # at most twice ``sample`` rows of three numbers
-    chosen = F.broadcast(chosen[0].unionAll(chosen[1]).dropDuplicates(["id"]))
+    chosen = F.broadcast(chosen[0].unionAll(chosen[1]))
     known = documents.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    known = known.where("text <> ''").join(chosen, "id").withColumn("half", F.pmod(F.xxhash64(F.lit("half"), F.col("id")), F.lit(2)))
+    known = known.where("text <> ''").join(chosen, "id")
+    # a document that is there several times speaks once, with the text that sorts first by its hashes
+    least = F.min(F.struct(row_key("text").alias("a"), twin_key("text").alias("b"), "text")).alias("least")
+    return counts, known.groupBy("id", "label", "order").agg(least).select("id", "label", "order", F.col("least.text").alias("text"))
+
+
+def fit(documents: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality", sample: int = SAMPLE) -> Model:
+    counts, known = sampled_rows(documents, labels, text, doc_id, label, sample)
+    total = sum(counts.values())
+    if len(counts) < 2:
+        return Model(counts.get(1, 0) / total if total else 0.5)
+    known = known.withColumn("half", F.pmod(F.xxhash64(F.lit("half"), F.col("id")), F.lit(2)))
     at = F.pmod("order", F.greatest(F.lit(1), F.length("text") - PIECE)) + 1
     pieces = known.where("half = 0").select("label", "id", F.col("text").substr(at.cast("int"), F.lit(PIECE)).alias("piece")).collect()
     samples = {k: [r.piece.encode() for r in sorted(pieces, key=lambda r: (r.id, r.piece)) if r.label == k] for k in (0, 1)}
@@ -144,7 +161,7 @@ def fit(documents: DataFrame, labels: DataFrame, text: str = "text", doc_id: str
 
 
 def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The documents with score and predicted.  The model is two dictionaries and five numbers."""
+    """The documents with score and predicted.  The model is two dictionaries and six numbers."""
     curve = None if model.curve is None else model.curve.tolist()
     bounded_batches(documents.sparkSession)
     held = documents.sparkSession.sparkContext.broadcast((model.share, model.dictionaries, curve))
