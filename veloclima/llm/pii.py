@@ -5,7 +5,7 @@ are open: ``number`` (other long digit groups) and ``secret`` (keys, tokens and
 characters and more, with two digits and two letters; shorter passwords are not looked for).
 Candidates of all kinds are judged by labelers that vote for, against or not at all: the
 kind's own pattern, gazetteers of prefixes and endings, words before the span, its shape,
-and how many documents have it.  Nobody says which votes are right: expectation
+and the share of documents that have it (``COMMON``).  Nobody says which votes are right: expectation
 maximisation estimates each labeler's reliability and every pattern of votes gets its
 chance of being personal.  A logistic span classifier is then trained on these chances, with
 features that need no votes, and decides about the open kinds.
@@ -31,12 +31,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._tables import Written, free_name, row_key
+from ._tables import Written, free_name, row_identity
 
 KINDS = ("email", "ip", "card", "phone", "number", "secret")
 BASE = KINDS[:4]
 CHANCE = 0.5
-COMMON = 50  # documents that share a value that is nobody's own
+COMMON = 0.005  # share of the documents beyond which a value is nobody's own
 _CONTEXT = 32  # code points before a span that labelers may see
 
 # Each after a run's begin or \G, so that no place is tried twice.
@@ -108,7 +108,7 @@ def valid(kind: str, value: Column) -> Column:
 
 def candidates(documents: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(key, kind, start, end, value, before, base) of everything that may be personal data."""
-    rows = documents.select(row_key(f"`{doc_id}`", f"`{text}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
+    rows = documents.select(row_identity(f"`{doc_id}`", f"`{text}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     rows = rows.where("text rlike '[0-9@]'")
     found = rows.select("key", F.explode(F.array(*(_matches(k) for k in KINDS))).alias("m")).where("m is not null")
     each = found.select(
@@ -135,10 +135,14 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, 1).when(no, -1).otherwise(0).cast("int")
 
 
-def votes(found: DataFrame) -> DataFrame:
-    """The candidates with one column per labeler: 1 for, -1 against, 0 no vote."""
+def votes(found: DataFrame, n_documents: int, common: float = COMMON) -> DataFrame:
+    """The candidates with one column per labeler: 1 for, -1 against, 0 no vote.
+
+    A value in more than a share of ``common`` of the documents, and in two, is nobody's own.
+    """
+    least = 1 + common * n_documents
     common = found.groupBy("kind", "value").agg(F.count_distinct("key").alias("n_docs"))
-    common = common.where(F.col("n_docs") >= COMMON).select(F.col("kind").alias("_kind"), F.col("value").alias("_value"))
+    common = common.where(F.col("n_docs") > least).select(F.col("kind").alias("_kind"), F.col("value").alias("_value"))
     joined = found.join(common, (F.col("kind") == F.col("_kind")) & (F.col("value") == F.col("_value")), "left")
     value, kind = F.col("value"), F.col("kind")
     digits = F.length(F.regexp_replace("value", "[^0-9]", ""))
@@ -265,15 +269,19 @@ def train(voted: DataFrame) -> tuple[Reliability | None, dict[str, list[float]]]
     return model, fit_classifier(training)
 
 
-def personal_spans(documents: DataFrame, tables: Written, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def personal_spans(
+    documents: DataFrame, tables: Written, text: str = "text", doc_id: str = "doc_id", common: float = COMMON
+) -> DataFrame:
     """(key, kind, start, end, base): all base spans, and added ones that touch none of them."""
-    voted = tables(votes(tables(candidates(documents, text, doc_id), "candidates")), "votes")
+    found = tables(candidates(documents, text, doc_id), "candidates")
+    voted = tables(votes(found, documents.count(), common), "votes")
     _, weights = train(voted)
     chosen = voted.where(F.col("base") | (~F.col("kind").isin(*BASE) & (chance_of(weights) >= CHANCE)))
     chosen = chosen.withColumn("place", F.array_position(F.array(*(F.lit(k) for k in KINDS)), F.col("kind")).cast("int"))
-    # a later kind gives way to base spans and to earlier added kinds
+    # A later kind gives way to base spans and to earlier added kinds.  Both frames grow row by
+    # row, the second from the end, so a document's spans are passed over once each way.
     before = Window.partitionBy("key").orderBy("start", "place").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy("key").orderBy("start", "place").rowsBetween(1, Window.unboundedFollowing)
+    after = Window.partitionBy("key").orderBy(F.desc("start"), F.desc("place")).rowsBetween(Window.unboundedPreceding, -1)
     for place in (5, 6):
         prior = F.col("place") < place
         met = (F.coalesce(F.max(F.when(prior, F.col("end"))).over(before), F.lit(-1)) > F.col("start")) | (
@@ -293,7 +301,7 @@ def find_personal_data(documents: DataFrame, text: str = "text", doc_id: str = "
         F.sort_array(F.collect_list(F.struct("place", "start", "end", "kind", "base"))).alias("personal")
     )
     kept = [c for c in documents.columns if c.lower() != "personal"]
-    rows = documents.select(*(F.col(f"`{c}`") for c in kept), row_key(f"`{doc_id}`", f"`{text}`").alias(name))
+    rows = documents.select(*(F.col(f"`{c}`") for c in kept), row_identity(f"`{doc_id}`", f"`{text}`").alias(name))
     return rows.join(tables(per_row, "spans"), name, "left").drop(name)
 
 

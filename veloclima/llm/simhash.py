@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._tables import Written, free_name, row_key, texts_of
+from ._tables import Written, free_name, row_identity, texts_of
 from .components import components
 
 SHINGLE = 3
@@ -207,7 +207,7 @@ def groups(documents: DataFrame, tables: Written, text: str = "text", doc_id: st
     each distinct fingerprint."""
     rows = documents.select(
         F.col(f"`{doc_id}`").alias("doc_id"),
-        row_key(f"`{doc_id}`", f"`{text}`").alias("key"),
+        row_identity(f"`{doc_id}`", f"`{text}`").alias("key"),
         fingerprints(F.col(f"`{text}`").cast("string")).alias("fp"),
     )
     rows = tables(rows, "rows")
@@ -239,5 +239,5 @@ def keep_first(documents: DataFrame, text: str = "text", doc_id: str = "doc_id",
     kept = rows.join(names, "fp").groupBy("root").agg(first.alias("f"))
     name = free_name(documents, "_key")
     keys = tables(kept.select(F.col("f.key").alias(name)), "kept")
-    keyed = documents.withColumn(name, row_key(f"`{doc_id}`", f"`{text}`"))
+    keyed = documents.withColumn(name, row_identity(f"`{doc_id}`", f"`{text}`"))
     return keyed.join(keys.hint("merge"), name, "left_semi").dropDuplicates([name]).drop(name)
