@@ -99,6 +99,15 @@ def weather_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def harsh_weather_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weather with a second row for every seventh day, and icons and temperatures that are unknown."""
+    rows = weather_rows(spark, sf_dir)
+    day = F.dayofmonth(F.to_date("datetime"))
+    again = rows.where(day % 7 == 0).withColumns({"icon": F.lit("fog"), "tempmax": F.col("tempmax") + 1.0})
+    unknown = {"icon": F.when(day % 5 != 0, F.col("icon")), "tempmax": F.when(day % 6 != 0, F.col("tempmax"))}
+    return rows.withColumns(unknown).unionByName(again)
+
+
 def far_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A pair of points per event: anywhere on the globe, every other one nearly antipodal."""
     i = F.col("event_id")
@@ -142,6 +151,14 @@ def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(staged(spark, sf_dir, "processed_table"))
 
 
+def _stage_harsh(spark: SparkSession, sf_dir: str, place: str) -> None:
+    """Trips as pandas stores them, with its row numbers; some end before they start."""
+    i = F.col("ride_id").cast("long")
+    early = F.timestamp_add("SECOND", F.lit(-90), F.col("started_at"))
+    rows = trips(spark, sf_dir).withColumn("ended_at", F.when(i % 29 == 0, early).otherwise(F.col("ended_at")))
+    write_parquet(rows.withColumn("__index_level_0__", i), place)
+
+
 def _stage_weather(spark: SparkSession, sf_dir: str, place: str) -> None:
     write_parquet(weather_rows(spark, sf_dir), place)
 
@@ -254,6 +271,7 @@ def _stage_processed_table(spark: SparkSession, sf_dir: str, place: str) -> str:
 
 
 _STAGES: dict[str, Callable[[SparkSession, str, str], str | None]] = {
+    "harsh": _stage_harsh,
     "weather": _stage_weather,
     "trips": _stage_trips,
     "csv": _stage_csv,

@@ -40,6 +40,13 @@ WEATHER = """SELECT strftime(d, '%Y-%m-%d') AS datetime,
 FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events)
 WHERE dayofmonth(d) % 10 <> 0"""
 
+HARSH = """SELECT * REPLACE (CASE WHEN CAST(ride_id AS BIGINT) % 29 = 0 THEN started_at - INTERVAL 90 SECOND
+                          ELSE ended_at END AS ended_at) FROM all_trips"""
+HARSH_WEATHER = """SELECT datetime, CASE WHEN dayofmonth(CAST(datetime AS DATE)) % 5 <> 0 THEN icon END AS icon,
+       CASE WHEN dayofmonth(CAST(datetime AS DATE)) % 6 <> 0 THEN tempmax END AS tempmax FROM plain_weather
+UNION ALL
+SELECT datetime, 'fog', tempmax + 1 FROM plain_weather WHERE dayofmonth(CAST(datetime AS DATE)) % 7 = 0"""
+
 # --- fixed values: the trip columns, in file order, and those that are text ---
 COLUMNS = [
     "ride_id",
@@ -179,6 +186,14 @@ def archived() -> list[tuple[str, str]]:
     return [("seeds", EVENTS), ("all_trips", TRIPS), ("trips", ARCHIVED)]
 
 
+def harsh() -> list[tuple[str, str]]:
+    return [
+        ("seeds", EVENTS), ("all_trips", TRIPS), ("trips", HARSH), ("plain_weather", WEATHER), ("weather", HARSH_WEATHER),
+        ("clean", f"SELECT * FROM trips WHERE {COMPLETE}"), *measured("clean"),
+        ("processed", "SELECT m.*, icon, tempmax FROM measured m JOIN weather ON date = datetime"),
+    ]
+
+
 def far() -> str:
     """Distance by halving the azimuth at the southern point, with integrals as sums.
 
@@ -411,6 +426,14 @@ def oracle() -> dict[str, str]:
             f"SELECT *, 'highest' AS list FROM ({HIGHEST}) UNION ALL"
             f" SELECT *, 'lowest' AS list FROM ({LOWEST})",
         ),
+        "harsh_index_col": with_(harsh(), rows),
+        "harsh_travel_time": with_(
+            harsh(),
+            "SELECT ride_id, round_even((epoch_us(ended_at) - epoch_us(started_at)) / 60e6 * 10, 0)"
+            " / 10 AS travel_time FROM trips",
+        ),
+        "harsh_join_weather": with_(harsh(), JOINED.format(listed("date", "icon", "tempmax"), "trips")),
+        "harsh_daily_avg": with_(harsh(), DAILY),
         "add_distance_far": far(),
         "pipe_spark_join": with_(
             [*nan, *weather], JOINED.format(listed("date", "icon", "tempmax"), "ingested")

@@ -296,6 +296,37 @@ def limit_n(spark, sf_dir):
     return op.limit_rows(derived.weather(spark, sf_dir), 5, order_by="datetime")
 
 
+# --- rows that real files hold ------------------------------------------------------------
+# Row numbers of pandas, trips that end before they start, days with two weather rows,
+# unknown icons and temperatures.
+
+
+def _harsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(derived.staged(spark, sf_dir, "harsh"))
+
+
+@query
+def harsh_index_col(spark, sf_dir):
+    return shown(op.drop_index_col(_harsh(spark, sf_dir)))
+
+
+@query
+def harsh_travel_time(spark, sf_dir):
+    return op.add_travel_time(op.drop_index_col(_harsh(spark, sf_dir))).select("ride_id", "travel_time")
+
+
+@query
+def harsh_join_weather(spark, sf_dir):
+    joined = plans.join_only(op.drop_index_col(_harsh(spark, sf_dir)), derived.harsh_weather_rows(spark, sf_dir))
+    return shown(joined)
+
+
+@query
+def harsh_daily_avg(spark, sf_dir):
+    done = plans.enrich_trips(op.drop_index_col(_harsh(spark, sf_dir)), derived.harsh_weather_rows(spark, sf_dir))
+    return rounded(op.weather_daily_avg(done), "distance")
+
+
 # --- scalar functions -----------------------------------------------------------------
 
 
