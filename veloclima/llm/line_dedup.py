@@ -14,7 +14,9 @@ holder speaks for the others, whose order may be that of the later document.
 The order of documents is that of doc_id (null last), then of the row's key.  Lines are
 compared without white space at their ends; lines without words match, but count nothing.
 
-Alignment reads arrays of line hashes only; texts move once, when lines are cut.
+Alignment reads arrays of line hashes only; texts move once, when lines are cut.  Later documents
+meet their first holders in buckets of about ``MEET_LINES`` lines: a first holder that many share is
+sent to as many buckets as its later documents fill, once to each, not once to each document.
 
 Defined results: a null or empty text has no lines and stays; rows that repeat doc_id and
 text are one document here, and are cut alike; an empty table gives an empty result; other
@@ -33,9 +35,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._repeats import RangeHash
-from ._tables import Written, free_name, mixed, row_key, texts_of
+from ._tables import Written, free_name, mixed, row_identity, texts_of
 
 BLOCK_WORDS = 15  # in a deleted block
+MEET_LINES = 20_000  # of later documents that meet their first holders at once
 
 
 def block_runs(names: np.ndarray, words: np.ndarray, ends: np.ndarray, least: int = BLOCK_WORDS):
@@ -166,9 +169,14 @@ def _moved(first: list[int], later: list[int], words: list[int], cut: list[int],
     return [y - len(first) for s, e in zip(start[own][both].tolist(), end[own][both].tolist()) for y in range(s, e)]
 
 
-def _align(first: pa.Array, later: pa.Array, words: pa.Array) -> pa.Array:
-    rows = zip(first.to_pylist(), later.to_pylist(), words.to_pylist())
-    return pa.array([common_blocks(a, b, w) for a, b, w in rows], pa.list_(pa.int32()))
+def _align(firsts: pa.Table, later: pa.Table) -> pa.Table:
+    """Cut places of the later documents of a bucket."""
+    held = {(x["a"], x["b"]): h for x, h in zip(firsts.column("holder").to_pylist(), firsts.column("held").to_pylist())}
+    columns = (later.column(name).to_pylist() for name in ("key", "first", "hashes", "words"))
+    rows = [(k["a"], k["b"], common_blocks(held[x["a"], x["b"]], h, w)) for k, x, h, w in zip(*columns)]
+    rows = list(zip(*(r for r in rows if r[2]))) or [(), (), ()]
+    kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()))
+    return pa.table([pa.array(c, t) for c, t in zip(rows, kinds)], names=["a", "b", "cut"])
 
 
 def _cut(texts: pa.Array, removed: pa.Array) -> pa.Array:
@@ -181,10 +189,27 @@ def _cut(texts: pa.Array, removed: pa.Array) -> pa.Array:
     return pa.array(out, pa.string())
 
 
+def aligned(pairs: DataFrame, docs: DataFrame, tables: Written, meet_lines: int = MEET_LINES) -> DataFrame:
+    """(key, cut): for each pair (first, key) with common blocks, the places in the later document."""
+    lines = docs.select("key", F.size("hashes").cast("long").alias("n"))
+    load = pairs.join(lines, "key").groupBy("first").agg(F.sum("n").alias("n"))
+    load = tables(load.select("first", F.ceil(F.greatest("n", F.lit(1)) / meet_lines).cast("int").alias("chunks"), "n"), "load")
+    total = load.agg(F.sum("n")).first()[0] or 0
+    bucket = F.pmod(F.xxhash64("first", "chunk"), F.lit(max(1, -(-total // meet_lines)))).alias("bucket")
+    chunk = F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int").alias("chunk")
+    later = pairs.join(load, "first").select("first", "key", chunk).join(docs.select("key", "hashes", "words"), "key")
+    firsts = load.join(docs.select(F.col("key").alias("first"), "hashes"), "first")
+    firsts = firsts.select("first", "hashes", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    firsts = firsts.select(bucket, F.col("first").alias("holder"), F.col("hashes").alias("held"))
+    later = later.select(bucket, "key", "first", "hashes", "words")
+    cut = firsts.groupBy("bucket").cogroup(later.groupBy("bucket")).applyInArrow(_align, "a long, b long, cut array<int>")
+    return cut.select(F.struct("a", "b").alias("key"), "cut")
+
+
 def removed_lines(documents: DataFrame, tables: Written, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(key, removed): for documents that lose lines, the places of these lines."""
     own = documents.select(
-        row_key(f"`{doc_id}`", f"`{text}`").alias("key"),
+        row_identity(f"`{doc_id}`", f"`{text}`").alias("key"),
         F.col(f"`{doc_id}`").isNull().alias("nameless"),
         F.col(f"`{doc_id}`").alias("name"),
         line_hashes(F.col(f"`{text}`").cast("string")).alias("l"),
@@ -197,12 +222,10 @@ def removed_lines(documents: DataFrame, tables: Written, text: str = "text", doc
     each = docs.select("key", F.explode("runs").alias("h"))
     pairs = each.join(held, "h").where("key <> first").select("first", "key").distinct()
     pairs = tables(pairs, "pairs")
-    firsts = docs.select(F.col("key").alias("first"), F.col("hashes").alias("first_hashes"))
-    both = pairs.join(firsts, "first").join(docs.select("key", "hashes", "words"), "key")
-    cut = both.select("key", F.arrow_udf(_align, "array<int>")("first_hashes", "hashes", "words").alias("cut"))
-    lost = cut.where(F.size("cut") > 0).groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("cut"))).alias("removed"))
+    cut = aligned(pairs, docs, tables)
+    lost = cut.groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("cut"))).alias("removed"))
     lost = tables(lost, "removed")
-    tables.drop("lines", "held", "pairs")
+    tables.drop("lines", "held", "pairs", "load")
     return lost
 
 
@@ -212,7 +235,7 @@ def dedup_lines(documents: DataFrame, text: str = "text", doc_id: str = "doc_id"
     key = free_name(documents, "_key")
     lost = removed_lines(documents, tables, text, doc_id).withColumnRenamed("key", key)
     kept = [c for c in documents.columns if c.lower() not in {"n_lines", "n_removed"}]
-    keyed = documents.select(*(F.col(f"`{c}`") for c in kept), row_key(f"`{doc_id}`", f"`{text}`").alias(key))
+    keyed = documents.select(*(F.col(f"`{c}`") for c in kept), row_identity(f"`{doc_id}`", f"`{text}`").alias(key))
     joined = keyed.join(lost.hint("merge"), key, "left")
     old = F.col(f"`{text}`").cast("string")
     n_lines = F.when(F.coalesce(F.length(old), F.lit(0)) == 0, 0).otherwise(F.size(F.split(old, "\n"))).cast("long")
