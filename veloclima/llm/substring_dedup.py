@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._repeats import ROWS, RangeHash, classify, context_rows, covered, per_key, repeated_starts
-from ._tables import Written, free_name, groups_of, mixed, row_key, texts_of
+from ._repeats import DOCUMENT, ROWS, RangeHash, classify, context_rows, covered, keyed, per_key, repeated_starts, with_spans
+from ._tables import Written, free_name, groups_of, mixed, texts_of
 
 WINDOW = 35
 ROUNDS = 2
@@ -138,8 +138,8 @@ def anchors(names: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS) -> tu
     return place, name
 
 
-def _pieces(keys: list[int], texts: list[bytes], window: int):
-    """(first word, key) of each part, and the parts' words: short documents together, long ones cut
+def _pieces(texts: list[bytes], window: int):
+    """(text, first word, place, words) of each part, and the parts' words: short documents together, long ones cut
     so that each window is in one part."""
     for first, end in groups_of([len(t) for t in texts], PIECE * 6):
         parts, words = [], []
@@ -150,7 +150,7 @@ def _pieces(keys: list[int], texts: list[bytes], window: int):
                 if words and len(words) + len(part) > 2 * PIECE:
                     yield parts, words
                     parts, words = [], []
-                parts.append((keys[k], at, len(words), len(part)))
+                parts.append((k, at, len(words), len(part)))
                 words.extend(part)
         if words:
             yield parts, words
@@ -160,8 +160,7 @@ def _anchor_rows(window: int, rounds: int):
     def rows(batches):
         names = Names()
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            for parts, words in _pieces(keys, texts_of(batch.column(1)), window):
+            for parts, words in _pieces(texts_of(batch.column(2)), window):
                 sequence = names_of(words, names)
                 place, name = anchors(sequence, window, rounds)
                 owner = np.repeat(np.arange(len(parts)), [p[3] for p in parts])[: len(place)]
@@ -170,26 +169,28 @@ def _anchor_rows(window: int, rounds: int):
                 found = context_rows(at[inside], place[inside], name[inside], RangeHash(sequence), window)
                 part = owner[found[2]]
                 shift = np.array([p[1] - p[2] for p in parts])[part]
+                document = pa.array(np.array([p[0] for p in parts], np.int64)[part])
                 columns = [
                     pa.array(found[0].view(np.int64)),
                     pa.array(found[1].view(np.int64)),
-                    pa.array(np.array([p[0] for p in parts], np.int64)[part]),
+                    *(batch.column(k).take(document) for k in (0, 1)),
                     pa.array((found[2] + shift).astype(np.int32)),
                     pa.array((found[3] + shift).astype(np.int32)),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["anchor", "context", "key", "first", "last"])
+                yield pa.RecordBatch.from_arrays(columns, ["anchor", "context", *DOCUMENT, "first", "last"])
 
     return rows
 
 
-_WINDOWS = "anchor long, hash long, key long, at int, known boolean"
+_WINDOWS = "anchor long, hash long, key long, twin long, at int, known boolean"
 
 
 def _window_rows(window: int):
     def rows(batches):
         names = Names()
         for batch in batches:
-            for key, text, wanted in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), batch.column(2).to_pylist()):
+            documents = zip(*(batch.column(k).to_pylist() for k in (0, 1)), texts_of(batch.column(2)), batch.column(3).to_pylist())
+            for key, twin, text, wanted in documents:
                 words = text.split()
                 ranges = RangeHash(names_of(words, names))
                 first = np.array([x["first"] for x in wanted])
@@ -200,10 +201,11 @@ def _window_rows(window: int):
                     pa.array(np.array([x["anchor"] for x in wanted], np.int64)[which]),
                     pa.array(ranges(at, at + window).view(np.int64)),
                     pa.array(np.full(len(at), key, np.int64)),
+                    pa.array(np.full(len(at), twin, np.int64)),
                     pa.array(at.astype(np.int32)),
                     pa.array(np.array([x["known"] for x in wanted], bool)[which]),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["anchor", "hash", "key", "at", "known"])
+                yield pa.RecordBatch.from_arrays(columns, ["anchor", "hash", *DOCUMENT, "at", "known"])
 
     return rows
 
@@ -224,14 +226,14 @@ def _cut(window: int):
 
 
 def removed_spans(documents: DataFrame, tables: Written, text: str, doc_id: str, window: int, rounds: int) -> DataFrame:
-    """(key, spans): for each document, first and last starts of repeated windows."""
-    keyed = documents.select(row_key(f"`{doc_id}`", f"`{text}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
-    rows = tables(keyed.mapInArrow(_anchor_rows(window, rounds), ROWS), "rows")
+    """(key, twin, spans): for each document, first and last starts of repeated windows."""
+    own = keyed(documents, doc_id, text)
+    rows = tables(own.mapInArrow(_anchor_rows(window, rounds), ROWS), "rows")
     spans, left = classify(rows, tables)
-    wanted = left.groupBy("key").agg(F.collect_set(F.struct("anchor", "first", "last", "known")).alias("wanted"))
+    wanted = left.groupBy(*DOCUMENT).agg(F.collect_set(F.struct("anchor", "first", "last", "known")).alias("wanted"))
     # rows that repeat a document ask for the same windows: once is enough, their spans are known
-    texts = keyed.join(tables(wanted, "wanted"), "key").dropDuplicates(["key"])
-    windows = tables(texts.select("key", "text", "wanted").mapInArrow(_window_rows(window), _WINDOWS), "windows")
+    texts = own.join(tables(wanted, "wanted"), [*DOCUMENT]).dropDuplicates([*DOCUMENT])
+    windows = tables(texts.select(*DOCUMENT, "text", "wanted").mapInArrow(_window_rows(window), _WINDOWS), "windows")
     spans = spans.unionAll(repeated_starts(windows, tables))
     found = tables(per_key(spans), "spans")
     tables.drop("shared", "contexts", "kinds", "counted", "open", "wanted", "windows", "twice")
@@ -243,9 +245,9 @@ def dedup_substrings(
 ) -> DataFrame:
     """The documents with n_words, n_removed and kept (the words left, joined by one space)."""
     tables = Written(documents.sparkSession, "substring-dedup")
-    key, result = free_name(documents, "_key"), free_name(documents, "_cut")
-    found = removed_spans(documents, tables, text, doc_id, window, rounds).withColumnRenamed("key", key)
+    result = free_name(documents, "_cut")
+    found = removed_spans(documents, tables, text, doc_id, window, rounds)
     kept = [c for c in documents.columns if c.lower() not in {"n_words", "n_removed", "kept", "spans"}]
-    keyed = documents.select(*(F.col(f"`{c}`") for c in kept), row_key(f"`{doc_id}`", f"`{text}`").alias(key))
     cut = F.arrow_udf(_cut(window), _RESULT)(F.col(f"`{text}`").cast("string"), F.col("spans"))
-    return keyed.join(found.hint("merge"), key, "left").withColumn(result, cut).select(*(F.col(f"`{c}`") for c in kept), f"{result}.*")
+    rows = with_spans(documents, found, kept, doc_id, text)
+    return rows.withColumn(result, cut).select(*(F.col(f"`{c}`") for c in kept), f"{result}.*")

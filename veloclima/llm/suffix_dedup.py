@@ -16,10 +16,12 @@ such sample to the next it shrinks by one per byte, so one pass along the text s
 longest match of every suffix (its matching statistics).  Matches of a window or more are
 marked, exactly, byte by byte.
 
-Anchors with more than ``KINDS`` contexts do not go into a bucket.  Their windows become
-rows with a 64-bit hash each, counted by Spark like any other key, and so do short runs of
-``RUN`` windows at equal distances from the anchor.  A run that occurs twice is a repeat as
-a whole; only windows seen in different runs come back one by one.
+An anchor with more than ``KINDS`` contexts does not go into a bucket; its windows are anchored
+again.  Starts at like distances from the anchor, ``WIDTHS`` of them, form a run, and the second
+anchor is what all windows of such a run share: nearly a whole window, so it is far rarer than
+the first.  Runs are counted like the contexts before them, one row for each, and what stays open goes into
+buckets by its second anchor, or, where that is still too common, is anchored again in
+shorter runs.  Runs of one window are settled by counting alone, so this ends.
 
 Defined results: a null or empty text has no bytes; matches never cross documents; texts
 shorter than a window lose nothing; rows that repeat doc_id and text count as two documents,
@@ -30,24 +32,28 @@ result column are replaced.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._repeats import ROWS, RangeHash, classify, context_rows, covered, per_key
-from ._tables import Written, free_name, groups_of, mixed, row_key, texts_of
+from ._repeats import DOCUMENT, ROWS, RangeHash, classify, context_rows, covered, keyed, per_key, with_spans
+from ._tables import Written, free_name, groups_of, mixed, texts_of
 
 WINDOW = 200
 SEED = 16  # bytes whose hash can be an anchor
 PIECE = 1 << 20  # bytes worked on at once; a longer text is taken in overlapping pieces
 BUCKET_BYTES = 400_000
 KINDS = 500
-RUN = 6
+WIDTHS = (64, 8, 1)
 
 _PLACE_BITS = 24
 _RESULT = "n_bytes long, n_removed long, n_spans long, kept binary"
-_LEFT = "anchor long, hash long, run long, key long, at int, n int, known boolean, body binary"
+_LEFT = "anchor long, kinds long, key long, twin long, at int, known boolean, ahead int, size int, body binary"
+_MARKED = "key long, twin long, first int, last int"
+_RUNS = f"{ROWS}, known boolean, of int"
 
 
 def byte_names() -> np.ndarray:
@@ -74,7 +80,7 @@ def anchors(data: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndar
 
 
 def _anchor_rows(window: int):
-    def pieces(keys, texts):
+    def pieces(texts):
         for first, end in groups_of([len(t) for t in texts], PIECE):
             parts, bodies, size = [], [], 0
             for k in range(first, end):
@@ -83,7 +89,7 @@ def _anchor_rows(window: int):
                     if bodies and size + len(body) > 2 * PIECE:
                         yield parts, b"".join(bodies)
                         parts, bodies, size = [], [], 0
-                    parts.append((keys[k], at, size, len(body)))
+                    parts.append((k, at, size, len(body)))
                     bodies.append(body)
                     size += len(body)
             if bodies:
@@ -92,7 +98,7 @@ def _anchor_rows(window: int):
     def rows(batches):
         codes = byte_names()
         for batch in batches:
-            for parts, body in pieces(batch.column(0).to_pylist(), texts_of(batch.column(1))):
+            for parts, body in pieces(texts_of(batch.column(2))):
                 data = np.frombuffer(body, np.uint8)
                 place, name = anchors(data, window)
                 owner = np.repeat(np.arange(len(parts)), [p[3] for p in parts])[: len(place)]
@@ -101,61 +107,83 @@ def _anchor_rows(window: int):
                 found = context_rows(at[inside], place[inside], name[inside], RangeHash(codes[data]), window)
                 part = owner[found[2]]
                 shift = np.array([p[1] - p[2] for p in parts])[part]
+                document = pa.array(np.array([p[0] for p in parts], np.int64)[part])
                 columns = [
                     pa.array(found[0].view(np.int64)),
                     pa.array(found[1].view(np.int64)),
-                    pa.array(np.array([p[0] for p in parts], np.int64)[part]),
+                    *(batch.column(k).take(document) for k in (0, 1)),
                     pa.array((found[2] + shift).astype(np.int32)),
                     pa.array((found[3] + shift).astype(np.int32)),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["anchor", "context", "key", "first", "last"])
+                yield pa.RecordBatch.from_arrays(columns, ["anchor", "context", *DOCUMENT, "first", "last"])
 
     return rows
 
 
 def _left_rows(window: int, kinds: int):
-    """Contexts as bytes (n = 0), or, for anchors with many of them, a row per window (n = 1)
-    and one per run of n windows (its own hash in ``run``, the windows have it too)."""
+    """Open contexts as bytes, and, where an anchor has many, how far it lies behind the first start."""
 
     def rows(batches):
-        codes = byte_names()
+        names = [c.split()[0] for c in _LEFT.split(", ")]
         for batch in batches:
             out = []
-            for key, text, wanted in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), batch.column(2).to_pylist()):
-                ranges = None
+            documents = zip(*(batch.column(k).to_pylist() for k in (0, 1)), texts_of(batch.column(2)), batch.column(3).to_pylist())
+            for key, twin, text, wanted in documents:
                 for x in wanted:
-                    if x["kinds"] <= kinds:
-                        body = text[x["first"] : x["last"] + window]
-                        out.append((x["anchor"], None, None, key, x["first"], 0, x["known"], body))
-                        continue
-                    if ranges is None:
-                        ranges = RangeHash(codes[np.frombuffer(text, np.uint8)])
-                    at = np.arange(x["first"], x["last"] + 1)
-                    hashes = ranges(at, at + window).view(np.int64).tolist()
-                    ahead = anchors(np.frombuffer(text[at[0] : at[0] + window], np.uint8), window)[0][0] - (at - at[0])
-                    head = np.flatnonzero(np.append(True, ahead[1:] // RUN != ahead[:-1] // RUN))
-                    length = np.diff(np.append(head, len(at)))
-                    first = at[head]
-                    runs = mixed(ranges(first, first + length - 1 + window), length.astype(np.uint64)).view(np.int64)
-                    of = np.repeat(runs, length).tolist()
-                    own = x["anchor"], x["known"]
-                    out += [(own[0], h, r, key, a, 1, own[1], None) for h, r, a in zip(hashes, of, at.tolist())]
-                    out += [(own[0], None, r, key, a, n, own[1], None) for r, a, n in zip(runs.tolist(), first.tolist(), length.tolist())]
-                if len(out) > 20_000:
-                    yield pa.RecordBatch.from_arrays(_columns(out), _NAMES)
-                    out = []
+                    body, ahead = text[x["first"] : x["last"] + window], None
+                    if x["kinds"] > kinds:
+                        ahead = int(anchors(np.frombuffer(body[:window], np.uint8), window)[0][0])
+                    out.append((x["anchor"], x["kinds"], key, twin, x["first"], x["known"], ahead, len(body), body))
+                    if len(out) > 20_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _LEFT_TYPES)], names)
+                        out = []
             if out:
-                yield pa.RecordBatch.from_arrays(_columns(out), _NAMES)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _LEFT_TYPES)], names)
 
     return rows
 
 
-_NAMES = ["anchor", "hash", "run", "key", "at", "n", "known", "body"]
-_KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
+_LEFT_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.binary())
 
 
-def _columns(rows):
-    return [pa.array(column, kind) for column, kind in zip(zip(*rows), _KINDS)]
+def second_anchors(body: bytes, anchor: int, ahead: int, window: int, width: int, codes: np.ndarray):
+    """(anchor, context, first, last) of a context's runs of starts, places within the context.
+
+    Starts whose distances to the anchor fall into one block of ``width`` make a run.  All windows
+    of a block share the bytes between its last start and its first window's end, also where
+    the context has only some of the block's starts; the second anchor is their hash.
+    """
+    ranges = RangeHash(codes[np.frombuffer(body, np.uint8)])
+    distance = ahead - np.arange(len(body) - window + 1)
+    block = distance // width
+    head = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+    last = np.append(head[1:], len(block)) - 1
+    begin = ahead - block[head] * width
+    core = ranges(begin, begin - width + 1 + window)
+    name = mixed(mixed(np.full(len(head), anchor, np.int64).view(np.uint64), block[head].astype(np.uint64)), core)
+    place = (distance[head] << 32 | (last - head)).astype(np.uint64)
+    return name, mixed(ranges(head, last + window), place), head, last
+
+
+def _second_rows(window: int, width: int):
+    def rows(batches):
+        codes = byte_names()
+        for batch in batches:
+            parts = [[] for _ in range(8)]
+            columns = [batch.column(name).to_pylist() for name in ("anchor", *DOCUMENT, "at", "known", "ahead", "body")]
+            for anchor, key, twin, at, known, ahead, body in zip(*columns):
+                name, context, first, last = second_anchors(body, anchor, ahead, window, width, codes)
+                n = len(name)
+                documents = np.full(n, key), np.full(n, twin)
+                values = name.view(np.int64), context.view(np.int64), *documents, first + at, last + at, np.full(n, known), np.full(n, at)
+                for own, value in zip(parts, values):
+                    own.append(value)
+            if parts[0]:
+                types = (*[pa.int64()] * 4, pa.int32(), pa.int32(), pa.bool_(), pa.int32())
+                columns = [pa.array(np.concatenate(p), t) for p, t in zip(parts, types)]
+                yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _RUNS.split(", ")])
+
+    return rows
 
 
 class RunIndex:
@@ -250,7 +278,7 @@ def _mark(window: int):
         bodies = bucket.column("body").to_pylist()
         index = RunIndex(bodies)
         long = index.matching_statistics() >= window
-        keys, ats = bucket.column("key").to_pylist(), bucket.column("at").to_pylist()
+        ats = bucket.column("at").to_pylist()
         known = bucket.column("known").to_pylist()
         rows: tuple[list, list, list] = ([], [], [])
         for k, begin in enumerate(index.begins.tolist()):
@@ -259,10 +287,12 @@ def _mark(window: int):
             own = long[begin : begin + len(bodies[k])].astype(np.int8)
             edge = np.diff(np.concatenate([[0], own, [0]]))
             for s, e in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()):
-                rows[0].append(keys[k])
+                rows[0].append(k)
                 rows[1].append(ats[k] + s)
                 rows[2].append(ats[k] + e - 1)
-        return pa.table({"key": pa.array(rows[0], pa.int64()), "first": pa.array(rows[1], pa.int32()), "last": pa.array(rows[2], pa.int32())})
+        document = pa.array(rows[0], pa.int64())
+        columns = [*(bucket.column(name).take(document) for name in DOCUMENT), pa.array(rows[1], pa.int32()), pa.array(rows[2], pa.int32())]
+        return pa.table(columns, names=[*DOCUMENT, "first", "last"])
 
     return mark
 
@@ -286,39 +316,49 @@ def _cut(window: int):
     return cut
 
 
-def _many_kinds(rows: DataFrame, tables: Written) -> DataFrame:
-    """(key, first, last) of repeats among the windows and runs of anchors with many contexts.
-
-    A window that is always in one and the same run needs no look of its own.
-    """
-    windows, runs = rows.where("hash is not null"), rows.where("hash is null")
-    twice = runs.groupBy("anchor", "run").agg(F.count("*").alias("seen")).where("seen > 1").select("anchor", "run")
-    found = runs.where("not known").join(tables(twice, "twice"), ["anchor", "run"], "left_semi")
-    apart = windows.groupBy("anchor", "hash").agg(F.min("run").alias("low"), F.max("run").alias("high"))
-    apart = tables(apart.where("low <> high").select("anchor", "hash"), "apart")
-    single = windows.where("not known").join(apart, ["anchor", "hash"], "left_semi")
-    end = (F.col("at") + F.col("n") - 1).alias("last")
-    return found.unionByName(single).select("key", F.col("at").alias("first"), end)
+def _anchored_again(hot: DataFrame, tables: Written, window: int, kinds: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """(spans, open contexts for the index) of contexts whose anchors are too common."""
+    spans, ready = [], []
+    for width in WIDTHS:
+        if hot.isEmpty():
+            break
+        level = f"-{width}"
+        rows = tables(hot.mapInArrow(_second_rows(window, width), _RUNS), "rows" + level)
+        repeats, left = classify(rows, tables, level, ("known", "of"))
+        spans.append(repeats)
+        if width == 1:  # what two such runs share is all they are
+            break
+        whole = hot.select(*DOCUMENT, F.col("at").alias("of"), "ahead", "body")
+        skip = F.col("first") - F.col("of")
+        size = F.col("last") - F.col("first") + window
+        parts = left.join(whole, [*DOCUMENT, "of"]).select(
+            "anchor", "kinds", *DOCUMENT, F.col("first").alias("at"), "known", (F.col("ahead") - skip).alias("ahead"),
+            size.alias("size"), F.substring("body", skip + 1, size).alias("body"),
+        )
+        parts = tables(parts, "parts" + level)
+        ready.append(parts.where(F.col("kinds") <= kinds))
+        hot = parts.where(F.col("kinds") > kinds)
+    return spans, ready
 
 
 def removed_spans(
     documents: DataFrame, tables: Written, text: str, doc_id: str, window: int, kinds: int, bucket_bytes: int
 ) -> DataFrame:
-    """(key, spans): for each document, first and last starts of repeated windows."""
-    keyed = documents.select(row_key(f"`{doc_id}`", f"`{text}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
-    rows = tables(keyed.mapInArrow(_anchor_rows(window), ROWS), "rows")
+    """(key, twin, spans): for each document, first and last starts of repeated windows."""
+    own = keyed(documents, doc_id, text)
+    rows = tables(own.mapInArrow(_anchor_rows(window), ROWS), "rows")
     spans, left = classify(rows, tables)
-    size = left.where(F.col("kinds") <= kinds).agg(F.sum(F.col("last") - F.col("first") + window)).first()[0] or 0
-    buckets = max(1, -(-size // bucket_bytes))
-    wanted = left.groupBy("key").agg(F.collect_set(F.struct("anchor", "first", "last", "known", "kinds")).alias("wanted"))
-    texts = keyed.join(tables(wanted, "wanted"), "key").dropDuplicates(["key"])
-    found = tables(texts.select("key", "text", "wanted").mapInArrow(_left_rows(window, kinds), _LEFT), "left")
-    bodies = found.where("body is not null").select("key", "at", "known", "body", F.pmod(F.xxhash64("anchor"), F.lit(buckets)).alias("bucket"))
-    marked = bodies.groupBy("bucket").applyInArrow(_mark(window), "key long, first int, last int")
-    marked = tables(marked, "marked")
-    spans = spans.unionAll(marked).unionAll(_many_kinds(found.where("body is null"), tables))
+    wanted = left.groupBy(*DOCUMENT).agg(F.collect_set(F.struct("anchor", "first", "last", "known", "kinds")).alias("wanted"))
+    texts = own.join(tables(wanted, "wanted"), [*DOCUMENT]).dropDuplicates([*DOCUMENT])
+    found = tables(texts.select(*DOCUMENT, "text", "wanted").mapInArrow(_left_rows(window, kinds), _LEFT), "left")
+    more, ready = _anchored_again(found.where(F.col("kinds") > kinds), tables, window, kinds)
+    bodies = reduce(DataFrame.unionByName, [found.where(F.col("kinds") <= kinds), *ready])
+    size = bodies.agg(F.sum(F.col("size").cast("long"))).first()[0] or 0
+    bucket = F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-size // bucket_bytes)))).alias("bucket")
+    marked = bodies.select(*DOCUMENT, "at", "known", "body", bucket).groupBy("bucket").applyInArrow(_mark(window), _MARKED)
+    spans = reduce(DataFrame.unionAll, [spans, *more, tables(marked, "marked")])
     out = tables(per_key(spans), "spans")
-    tables.drop("shared", "contexts", "kinds", "counted", "open", "wanted", "left", "marked", "twice", "apart")
+    tables.drop(*(name for name in list(tables.paths) if name != "spans"))
     return out
 
 
@@ -332,10 +372,10 @@ def dedup_bytes(
 ) -> DataFrame:
     """The documents with n_bytes, n_removed, n_spans and kept (the bytes left)."""
     tables = Written(documents.sparkSession, "suffix-dedup")
-    key, result = free_name(documents, "_key"), free_name(documents, "_cut")
-    found = removed_spans(documents, tables, text, doc_id, window, kinds, bucket_bytes).withColumnRenamed("key", key)
+    result = free_name(documents, "_cut")
+    found = removed_spans(documents, tables, text, doc_id, window, kinds, bucket_bytes)
     own = {"n_bytes", "n_removed", "n_spans", "kept", "spans"}
     kept = [c for c in documents.columns if c.lower() not in own]
-    keyed = documents.select(*(F.col(f"`{c}`") for c in kept), row_key(f"`{doc_id}`", f"`{text}`").alias(key))
     cut = F.arrow_udf(_cut(window), _RESULT)(F.col(f"`{text}`").cast("string"), F.col("spans"))
-    return keyed.join(found.hint("merge"), key, "left").withColumn(result, cut).select(*(F.col(f"`{c}`") for c in kept), f"{result}.*")
+    rows = with_spans(documents, found, kept, doc_id, text)
+    return rows.withColumn(result, cut).select(*(F.col(f"`{c}`") for c in kept), f"{result}.*")
