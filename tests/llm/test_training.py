@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from hard_rows import empty, hard, multiset, texts  # noqa: F401
 from veloclima.llm import resampling, sentence_pieces, vector_codes
@@ -72,6 +73,9 @@ def test_resampling_by_hand(spark, hard, empty, texts, orders, buckets, percent)
     assert multiset((r[4], r[5]) for r in got) == multiset((r[4], r[5]) for r in want)
     assert multiset(r for r in got if r[0] != 22 and r[0] is not None) == multiset(r for r in want if r[0] != 22 and r[0] is not None)
     assert resampling.resample(empty, bench).count() == 0
+    clash = {f"_{name}": F.lit(name) for name in ("row", "part", "place", "before", "found", "noise")}
+    beside = resampling.resample(hard.withColumns(clash), bench, percent, 20, orders=orders, buckets=buckets)
+    assert {r._before for r in beside.collect()} == {"before"} and set(clash) < set(beside.columns)
     none = resampling.resample(hard, bench.limit(0), keep_text=True)
     assert none.count() == len(texts) and "text" in none.columns
 

@@ -248,20 +248,20 @@ def score(
     spark = documents.sparkSession
     bounded_batches(spark)
     held = spark.sparkContext.broadcast(gains.tolist())
-    found = free_name(documents, "_found")
+    found, noisy = free_name(documents, "_found"), free_name(documents, "_noise")
     kind = "n_words long, n_features long, weight long"
     kept = [F.col(f"`{c}`") for c in documents.columns if c.lower() not in RESULT]
     weights = F.arrow_udf(_weights(held, orders), kind)(F.col(f"`{text}`").cast("string")).alias(found)
     name = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")))
     h = F.conv(F.substring(F.sha2(name, 256), 1, 8), 16, 10).cast("long")
     noise = F.floor(-1000 * F.log(-F.log((h + 0.5) / 4294967296.0)))
-    rows = documents.select(*kept, weights, noise.alias(f"{found}_noise"))
-    return rows.select(*kept, f"{found}.*", (F.col(f"{found}.weight") + F.col(f"{found}_noise")).alias("score"))
+    rows = documents.select(*kept, weights, noise.alias(noisy))
+    return rows.select(*kept, f"{found}.*", (F.col(f"{found}.weight") + F.col(noisy)).alias("score"))
 
 
 def draw(scored: DataFrame, tables: Written, percent: int = 25, least_words: int = 20, doc_id: str = "doc_id") -> DataFrame:
     """The rows with rank: 1, 2, 3... for the ``percent`` of eligible rows with the highest scores."""
-    row, part, place = (free_name(scored, f"_{name}") for name in ("row", "part", "place"))
+    row, part, place, before = (free_name(scored, f"_{name}") for name in ("row", "part", "place", "before"))
     rows = tables(scored.withColumn(row, F.monotonically_increasing_id()), "scored")
     eligible = F.col("n_words") >= least_words
     order = [F.col("score").desc(), F.col(f"`{doc_id}`").asc_nulls_last(), F.col(row)]
@@ -274,8 +274,8 @@ def draw(scored: DataFrame, tables: Written, percent: int = 25, least_words: int
     for own, n in sorted(ranged.groupBy(part).count().collect()):  # one row per task
         offsets.append((own, total))
         total += n
-    offsets = scored.sparkSession.createDataFrame(offsets, f"{part} long, _before long")
-    rank = F.col("_before") + F.col(place) + 1
+    offsets = scored.sparkSession.createDataFrame(offsets, f"{part} long, {before} long")
+    rank = F.col(before) + F.col(place) + 1
     drawn = total * percent // 100
     ranked = ranged.join(F.broadcast(offsets), part).withColumn("rank", F.when(rank <= drawn, rank))
     others = rows.where(~eligible | F.col("n_words").isNull()).withColumn("rank", F.lit(None).cast("long"))
