@@ -51,9 +51,9 @@ WIDTHS = (64, 8, 1)
 
 _PLACE_BITS = 24
 _RESULT = "n_bytes long, n_removed long, n_spans long, kept binary"
-_LEFT = "anchor long, kinds long, key long, twin long, at int, known boolean, ahead int, size int, body binary"
+_LEFT = "anchor long, kinds long, key long, twin long, at int, known boolean, size int, body binary"
 _MARKED = "key long, twin long, first int, last int"
-_RUNS = f"{ROWS}, known boolean, of int"
+_RUNS = f"{ROWS}, known boolean, of int, ahead int"
 
 
 def byte_names() -> np.ndarray:
@@ -120,8 +120,8 @@ def _anchor_rows(window: int):
     return rows
 
 
-def _left_rows(window: int, kinds: int):
-    """Open contexts as bytes, and, where an anchor has many, how far it lies behind the first start."""
+def _left_rows(window: int):
+    """Open contexts as bytes."""
 
     def rows(batches):
         names = [c.split()[0] for c in _LEFT.split(", ")]
@@ -130,10 +130,8 @@ def _left_rows(window: int, kinds: int):
             documents = zip(*(batch.column(k).to_pylist() for k in (0, 1)), texts_of(batch.column(2)), batch.column(3).to_pylist())
             for key, twin, text, wanted in documents:
                 for x in wanted:
-                    body, ahead = text[x["first"] : x["last"] + window], None
-                    if x["kinds"] > kinds:
-                        ahead = int(anchors(np.frombuffer(body[:window], np.uint8), window)[0][0])
-                    out.append((x["anchor"], x["kinds"], key, twin, x["first"], x["known"], ahead, len(body), body))
+                    body = text[x["first"] : x["last"] + window]
+                    out.append((x["anchor"], x["kinds"], key, twin, x["first"], x["known"], len(body), body))
                     if len(out) > 20_000:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _LEFT_TYPES)], names)
                         out = []
@@ -143,45 +141,76 @@ def _left_rows(window: int, kinds: int):
     return rows
 
 
-_LEFT_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.binary())
+_LEFT_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.binary())
 
 
-def second_anchors(body: bytes, anchor: int, ahead: int, window: int, width: int, codes: np.ndarray):
-    """(anchor, context, first, last) of a context's runs of starts, places within the context.
+def anchors_ahead(data: np.ndarray, begin: np.ndarray, window: int) -> np.ndarray:
+    """How far the anchor lies behind the start of each of these windows."""
+    words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    out = np.empty(len(begin), np.int64)
+    step = np.arange(window - SEED + 1)
+    for k in range(0, len(begin), 2000):
+        at = begin[k : k + 2000, None] + step
+        name = mixed(words[at], words[at + SEED - 8])
+        low = name >> np.uint64(_PLACE_BITS) << np.uint64(_PLACE_BITS) | step.astype(np.uint64)
+        out[k : k + 2000] = low.argmin(1)
+    return out
+
+
+def second_anchors(bodies: list[bytes], anchor: np.ndarray, ahead: np.ndarray | None, window: int, width: int, codes: np.ndarray):
+    """(body, anchor, context, first, last, ahead) of the contexts' runs of starts, places within the context.
 
     Starts whose distances to the anchor fall into one block of ``width`` make a run.  All windows
     of a block share the bytes between its last start and its first window's end, also where
     the context has only some of the block's starts; the second anchor is their hash.
     """
-    ranges = RangeHash(codes[np.frombuffer(body, np.uint8)])
-    distance = ahead - np.arange(len(body) - window + 1)
+    size = np.array([len(b) for b in bodies], np.int64)
+    offset = np.cumsum(size) - size
+    data = np.frombuffer(b"".join(bodies), np.uint8)
+    ranges = RangeHash(codes[data])
+    if ahead is None:
+        ahead = anchors_ahead(data, offset, window)
+    starts = size - window + 1
+    body = np.repeat(np.arange(len(bodies)), starts)
+    place = np.arange(len(body)) - np.repeat(np.cumsum(starts) - starts, starts)
+    distance = ahead[body] - place
     block = distance // width
-    head = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
-    last = np.append(head[1:], len(block)) - 1
-    begin = ahead - block[head] * width
+    new = np.ones(len(body), bool)
+    new[1:] = (body[1:] != body[:-1]) | (block[1:] != block[:-1])
+    head = np.flatnonzero(new)
+    last = place[np.append(head[1:], len(body)) - 1]
+    body, first, block, distance = body[head], place[head], block[head], distance[head]
+    begin = (offset + ahead)[body] - block * width
     core = ranges(begin, begin - width + 1 + window)
-    name = mixed(mixed(np.full(len(head), anchor, np.int64).view(np.uint64), block[head].astype(np.uint64)), core)
-    place = (distance[head] << 32 | (last - head)).astype(np.uint64)
-    return name, mixed(ranges(head, last + window), place), head, last
+    name = mixed(mixed(anchor[body].view(np.uint64), block.astype(np.uint64)), core)
+    shape = (distance << 32 | (last - first)).astype(np.uint64)
+    whole = ranges(offset[body] + first, offset[body] + last + window)
+    return body, name, mixed(whole, shape), first, last, distance
 
 
 def _second_rows(window: int, width: int):
     def rows(batches):
         codes = byte_names()
+        names = [c.split()[0] for c in _RUNS.split(", ")]
         for batch in batches:
-            parts = [[] for _ in range(8)]
-            columns = [batch.column(name).to_pylist() for name in ("anchor", *DOCUMENT, "at", "known", "ahead", "body")]
-            for anchor, key, twin, at, known, ahead, body in zip(*columns):
-                name, context, first, last = second_anchors(body, anchor, ahead, window, width, codes)
-                n = len(name)
-                documents = np.full(n, key), np.full(n, twin)
-                values = name.view(np.int64), context.view(np.int64), *documents, first + at, last + at, np.full(n, known), np.full(n, at)
-                for own, value in zip(parts, values):
-                    own.append(value)
-            if parts[0]:
-                types = (*[pa.int64()] * 4, pa.int32(), pa.int32(), pa.bool_(), pa.int32())
-                columns = [pa.array(np.concatenate(p), t) for p, t in zip(parts, types)]
-                yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _RUNS.split(", ")])
+            bodies = batch.column("body").to_pylist()
+            anchor, at = (batch.column(name).to_numpy() for name in ("anchor", "at"))
+            known = batch.column("known").to_numpy(zero_copy_only=False)
+            ahead = batch.column("ahead").to_numpy().astype(np.int64) if "ahead" in batch.schema.names else None
+            for low, high in groups_of([len(b) for b in bodies], PIECE):
+                own = None if ahead is None else ahead[low:high]
+                body, name, context, first, last, distance = second_anchors(bodies[low:high], anchor[low:high], own, window, width, codes)
+                row = body + low
+                document = pa.array(row)
+                columns = [
+                    pa.array(name.view(np.int64)),
+                    pa.array(context.view(np.int64)),
+                    *(batch.column(n).take(document) for n in DOCUMENT),
+                    *(pa.array(c.astype(np.int32)) for c in (first + at[row], last + at[row])),
+                    pa.array(known[row]),
+                    *(pa.array(c.astype(np.int32)) for c in (at[row], distance)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return rows
 
@@ -207,25 +236,23 @@ class RunIndex:
             byte[: n - k] = self.data[k:]
             key |= np.where(self.rest > k, byte, 0).astype(np.uint64) << np.uint64(8 * (7 - k))
         key |= np.minimum(self.rest, 7).astype(np.uint64)
-        self.ranks, width, most = [], 7, int(lengths.max(initial=0))
-        while True:
-            order = np.argsort(key)
-            sorted_key = key[order]
-            rank = np.empty(n, np.int64)
-            rank[order] = np.cumsum(np.concatenate([[1], sorted_key[1:] != sorted_key[:-1]]))[:n]
-            self.ranks.append((width, rank))
-            if width >= most or n == 0 or rank.max() == n:
+        # a rank is the place of a group's first member, from 1, so only groups of several are sorted on
+        rank, width, most = self._refined(here, key, None, n), 7, int(lengths.max(initial=0))
+        self.ranks, step = [(width, rank)], 2 if 3 * n.bit_length() <= 64 else 1
+        while width < most:
+            several = np.bincount(rank, minlength=n + 1)[rank] > 1
+            own = np.flatnonzero(several & (self.rest >= width))
+            if not len(own):
                 break
-            key = rank.astype(np.uint64)
-            bits = np.uint64(int(rank.max()).bit_length())
-            for step in (1, 2):
-                later = np.zeros(n, np.uint64)
-                far = step * width
-                if far < n:
-                    later[: n - far] = np.where(self.rest[: n - far] > far, rank[far:], 0).astype(np.uint64)
-                key = key << bits | later
-            width *= 3
-        self.suffixes = np.argsort(self.ranks[-1][1] * (n + 1) + here)  # ends by text order
+            key, bits = rank[own].astype(np.uint64), np.uint64(n.bit_length())
+            for k in range(1, step + 1):
+                far = k * width
+                later = np.where(self.rest[own] > far, rank[np.minimum(own + far, n - 1)], 0)
+                key = key << bits | later.astype(np.uint64)
+            rank = self._refined(own, key, rank, n)
+            width *= step + 1
+            self.ranks.append((width, rank))
+        self.suffixes = self._order(rank, n)  # ends by text order
         before = np.full(n, -1, np.int64)
         before[1:] = self.data[:-1]
         before[self.begins[lengths > 0]] = -1 - np.arange((lengths > 0).sum())  # each text's start, a run of its own
@@ -233,6 +260,39 @@ class RunIndex:
         self.heads = np.ones(n, bool)
         self.heads[1:] = self.transform[1:] != self.transform[:-1]
 
+    @staticmethod
+    def _refined(own: np.ndarray, key: np.ndarray, rank: np.ndarray | None, n: int) -> np.ndarray:
+        """Ranks after the members ``own``, of whole groups, are told apart by ``key``."""
+        order = np.argsort(key)
+        key, place = key[order], np.arange(len(own))
+        new = np.ones(len(own), bool)
+        new[1:] = key[1:] != key[:-1]
+        start = np.maximum.accumulate(np.where(new, place, 0)) if len(own) else place
+        if rank is None:
+            out = np.empty(n, np.int64)
+            out[own[order]] = start + 1
+            return out
+        old = rank[own[order]]
+        first = np.ones(len(own), bool)
+        first[1:] = old[1:] != old[:-1]
+        out = rank.copy()
+        out[own[order]] = old + start - np.maximum.accumulate(np.where(first, place, 0))
+        return out
+
+    @staticmethod
+    def _order(rank: np.ndarray, n: int) -> np.ndarray:
+        out, tied = np.empty(n, np.int64), np.bincount(rank, minlength=n + 1)[rank] > 1
+        single = np.flatnonzero(~tied)
+        out[rank[single] - 1] = single
+        several = np.flatnonzero(tied)
+        several = several[np.argsort(rank[several], kind="stable")]
+        own, place = rank[several], np.arange(len(several))
+        first = np.ones(len(several), bool)
+        first[1:] = own[1:] != own[:-1]
+        start = np.maximum.accumulate(np.where(first, place, 0)) if len(several) else place
+        out[own - 1 + place - start] = several
+        return out
+
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Bytes that the suffixes at a and b share."""
         most = np.minimum(self.rest[a], self.rest[b])
@@ -259,16 +319,29 @@ class RunIndex:
         last = np.maximum.accumulate(np.where(at_sample, here, 0))
         return value[last] - (here - last)
 
-    def matching_statistics(self) -> np.ndarray:
-        """For each byte, the longest string from it that starts anywhere else too."""
+    def _at_least(self, a: np.ndarray, b: np.ndarray, least: int) -> np.ndarray:
+        """Common bytes where there are ``least``; where there are fewer, maybe 0."""
+        known = [rank for width, rank in self.ranks if width <= least]
+        if not known:
+            return self.common(a, b)
+        out = np.zeros(len(a), np.int64)
+        some = np.flatnonzero((known[-1][a] == known[-1][b]) & (np.minimum(self.rest[a], self.rest[b]) >= least))
+        out[some] = self.common(a[some], b[some])
+        return out
+
+    def matching_statistics(self, least: int = 0) -> np.ndarray:
+        """For each byte, the longest string from it that starts anywhere else too.
+
+        Strings shorter than ``least`` may be told shorter than they are.
+        """
         if not len(self.data):
             return np.zeros(0, np.int64)
         sa = self.suffixes
         head = np.flatnonzero(self.heads)
-        first = self.common(sa[np.maximum(head - 1, 0)], sa[head])
+        first = self._at_least(sa[np.maximum(head - 1, 0)], sa[head], least)
         first[head == 0] = 0
         tail = np.append(head[1:] - 1, len(sa) - 1)
-        last = self.common(sa[tail], sa[np.minimum(tail + 1, len(sa) - 1)])
+        last = self._at_least(sa[tail], sa[np.minimum(tail + 1, len(sa) - 1)], least)
         last[tail == len(sa) - 1] = 0
         return np.maximum(self._stream(sa[head], first), self._stream(sa[tail], last))
 
@@ -277,7 +350,7 @@ def _mark(window: int):
     def mark(bucket: pa.Table) -> pa.Table:
         bodies = bucket.column("body").to_pylist()
         index = RunIndex(bodies)
-        long = index.matching_statistics() >= window
+        long = index.matching_statistics(window) >= window
         ats = bucket.column("at").to_pylist()
         known = bucket.column("known").to_pylist()
         rows: tuple[list, list, list] = ([], [], [])
@@ -324,19 +397,18 @@ def _anchored_again(hot: DataFrame, tables: Written, window: int, kinds: int) ->
             break
         level = f"-{width}"
         rows = tables(hot.mapInArrow(_second_rows(window, width), _RUNS), "rows" + level)
-        repeats, left = classify(rows, tables, level, ("known", "of"))
+        repeats, left = classify(rows, tables, level, ("known", "of", "ahead"))
         spans.append(repeats)
         if width == 1:  # what two such runs share is all they are
             break
-        whole = hot.select(*DOCUMENT, F.col("at").alias("of"), "ahead", "body")
-        skip = F.col("first") - F.col("of")
+        whole = hot.select(*DOCUMENT, F.col("at").alias("of"), "body")
         size = F.col("last") - F.col("first") + window
         parts = left.join(whole, [*DOCUMENT, "of"]).select(
-            "anchor", "kinds", *DOCUMENT, F.col("first").alias("at"), "known", (F.col("ahead") - skip).alias("ahead"),
-            size.alias("size"), F.substring("body", skip + 1, size).alias("body"),
+            "anchor", "kinds", *DOCUMENT, F.col("first").alias("at"), "known", "ahead", size.alias("size"),
+            F.substring("body", F.col("first") - F.col("of") + 1, size).alias("body"),
         )
         parts = tables(parts, "parts" + level)
-        ready.append(parts.where(F.col("kinds") <= kinds))
+        ready.append(parts.where(F.col("kinds") <= kinds).drop("ahead"))
         hot = parts.where(F.col("kinds") > kinds)
     return spans, ready
 
@@ -350,7 +422,7 @@ def removed_spans(
     spans, left = classify(rows, tables)
     wanted = left.groupBy(*DOCUMENT).agg(F.collect_set(F.struct("anchor", "first", "last", "known", "kinds")).alias("wanted"))
     texts = own.join(tables(wanted, "wanted"), [*DOCUMENT]).dropDuplicates([*DOCUMENT])
-    found = tables(texts.select(*DOCUMENT, "text", "wanted").mapInArrow(_left_rows(window, kinds), _LEFT), "left")
+    found = tables(texts.select(*DOCUMENT, "text", "wanted").mapInArrow(_left_rows(window), _LEFT), "left")
     more, ready = _anchored_again(found.where(F.col("kinds") > kinds), tables, window, kinds)
     bodies = reduce(DataFrame.unionByName, [found.where(F.col("kinds") <= kinds), *ready])
     size = bodies.agg(F.sum(F.col("size").cast("long"))).first()[0] or 0
