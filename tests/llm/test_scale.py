@@ -88,7 +88,7 @@ def test_a_text_with_very_many_spans(spark):
     found = pii.find_personal_data(df)
     started = time.monotonic()
     rows = {r.doc_id: r.personal for r in found.collect()}
-    assert time.monotonic() - started < 60
+    assert time.monotonic() - started < 150  # a frame that looks ahead takes ten times that
     assert [(s.kind, s.start, s.end) for s in rows[1] if s.base] == base_by_hand(text)
     spans = pii.personal_spans(df, Written(spark, "t"))
     assert "unboundedfollowing" not in spans._jdf.queryExecution().optimizedPlan().toString().lower()
