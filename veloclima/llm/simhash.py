@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._tables import Written, free_name, row_identity, texts_of
+from ._tables import Written, free_name, row_identity, row_key, texts_of, twin_key
 from .components import components
 
 SHINGLE = 3
@@ -237,7 +237,9 @@ def keep_first(documents: DataFrame, text: str = "text", doc_id: str = "doc_id",
     rows, names = groups(documents, tables, text, doc_id, distance)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
     kept = rows.join(names, "fp").groupBy("root").agg(first.alias("f"))
-    name = free_name(documents, "_key")
-    keys = tables(kept.select(F.col("f.key").alias(name)), "kept")
-    keyed = documents.withColumn(name, row_identity(f"`{doc_id}`", f"`{text}`"))
-    return keyed.join(keys.hint("merge"), name, "left_semi").dropDuplicates([name]).drop(name)
+    # two plain columns: the join has dealt the rows out as the last step wants them
+    here = [free_name(documents, "_key"), free_name(documents, "_twin")]
+    keys = tables(kept.select(*(F.col(f"f.key.{half}").alias(name) for half, name in zip("ab", here))), "kept")
+    content = f"`{doc_id}`", f"`{text}`"
+    keyed = documents.withColumns(dict(zip(here, (row_key(*content), twin_key(*content)))))
+    return keyed.join(keys.hint("merge"), here, "left_semi").dropDuplicates(here).drop(*here)
